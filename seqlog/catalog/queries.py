@@ -51,7 +51,7 @@ from seqlog.plans.session import configure
 from seqlog.plans.staging import scratch_path
 from seqlog.plans.tables import UPSERT, LogTable, Tables
 from seqlog.sinks.append import append_to_stream, append_to_streams, write_upserts
-from seqlog.sources.basin import check_tail, list_streams, live_streams, new_streams, positions
+from seqlog.sources.basin import check_tail, list_streams, live_streams, new_streams
 from seqlog.sources.datasource import register
 from seqlog.sources.options import SourceOptions
 from seqlog.sources.scan import detect_trim_gap, read_limited, scan, stream_progress
@@ -118,7 +118,7 @@ def scan_start_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_start_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a reader started between the two appends gets: everything from the tail of then."""
     basin = inputs.kv_basin(spark, sf_dir)
-    then = positions(spark, basin).where("batch_id = 0").select("stream", "next_seq")
+    then = check_tail(spark, basin, F.col("batch_id") == 0)
     return _lines(scan(spark, SourceOptions(basin, discovery_prefix="host/000"), resume=then))
 
 

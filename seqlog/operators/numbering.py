@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqlog.plans.staging import join_side, remove_path, stage
@@ -13,8 +13,8 @@ class Placed:
     """Rows written in order, and the runs of each key inside each partition.
 
     `rows` carries `_part` and `_at` (place inside the partition); `runs` has one row per key and
-    partition: `_from` (place of the first row), `_n`, `_before` (rows of the key in earlier
-    partitions) and the requested totals.
+    partition: `_from` (place of the first row), `_n` and `_before` (rows of the key in earlier
+    partitions).
     """
 
     rows: DataFrame
@@ -28,12 +28,7 @@ class Placed:
             remove_path(self.rows.sparkSession, path)
 
 
-def place(
-    df: DataFrame,
-    keys: list[str],
-    order: list,
-    totals: dict[str, Column] | None = None,
-) -> Placed:
+def place(df: DataFrame, keys: list[str], order: list) -> Placed:
     """Order `df` by key and `order`, write it once, and measure the runs.
 
     With an order, rows are range-partitioned, so a key with a third of all rows is cut across many
@@ -50,10 +45,7 @@ def place(
     )
     rows, rows_path = stage(placed, "placed")
     measured = rows.groupBy(*keys, "_part").agg(
-        F.count("*").alias("_n"),
-        F.min("_at").alias("_from"),
-        F.max("_at").alias("_to"),
-        *[total.alias(name) for name, total in (totals or {}).items()],
+        F.count("*").alias("_n"), F.min("_at").alias("_from")
     )
     earlier = (
         Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -13,12 +13,16 @@ from seqlog.operators.changelog import compact_upserts, upsert_encode
 from seqlog.operators.numbering import numbered, place
 from seqlog.sources.basin import (
     POSITIONS_SCHEMA,
-    list_streams,
+    append_path,
+    check_tail,
+    is_committed,
     positions,
     positions_path,
     records_path,
 )
 
+MAX_FILE_RECORDS = 1_000_000
+
 
 def append_name(writer: str, batch_id: int) -> str:
     return f"{writer}-{batch_id:012d}"
@@ -51,70 +55,58 @@ def append_to_streams(
     if batch_id is None:
         batch_id = next_batch(spark, basin, writer)
     append_id = append_name(writer, batch_id)
-    done = positions(spark, basin)
-    if not done.where(F.col("append_id") == append_id).isEmpty():
+    if is_committed(spark, basin, append_id):
         return append_id
 
     stream = F.col(route) if isinstance(route, str) else route
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     order_names = [f"_order{i}" for i in range(len(order))]
-    sized = df.select(
+    rows = df.select(
         stream.cast("string").alias("stream"),
         F.col("headers").cast(f"array<{HEADER_TYPE.simpleString()}>").alias("headers"),
         F.col("body").cast("binary").alias("body"),
-        metered_bytes().alias("_bytes"),
         *[c.alias(n) for c, n in zip(order, order_names)],
     )
-    too_big = F.col("_bytes") > F.lit(max_record_bytes)
     problem = F.when(F.col("stream").isNull(), F.lit("record without a stream")).when(
-        too_big, F.concat(F.lit("record over the size limit in "), F.col("stream"))
+        metered_bytes() > F.lit(max_record_bytes),
+        F.concat(F.lit("record over the size limit in "), F.col("stream")),
     )
-    checked_rows = sized.where(
-        F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))
+    sound = F.when(problem.isNull(), F.lit(True)).otherwise(
+        F.raise_error(problem).cast("boolean")
     )
-    placed = place(checked_rows, ["stream"], order_names, {"_bytes": F.sum("_bytes")})
+    placed = place(rows.where(sound), ["stream"], order_names)
 
-    ends = done.groupBy("stream").agg(F.max("next_seq").alias("_end"))
-    first = list_streams(spark, basin).select("stream", "first_seq")
-    tails = first.join(ends, "stream", "left").select(
-        "stream", F.coalesce("_end", "first_seq").alias("_tail")
-    )
+    tails = check_tail(spark, basin).withColumnRenamed("next_seq", "_tail")
     based = placed.runs.join(tails, "stream", "left").withColumn(
         "_base", F.coalesce("_tail", F.lit(0))
     )
+    records = numbered(replace(placed, runs=based), "seq_num", base="_base")
     now = F.lit(datetime.now(timezone.utc))
-    rows = numbered(replace(placed, runs=based), "seq_num", base="_base").select(
-        "stream",
-        "seq_num",
-        "headers",
-        "body",
-        now.alias("append_ts"),
-        F.lit(append_id).alias("append_id"),
+    target = append_path(records_path(basin), append_id)
+    (
+        records.select("stream", "seq_num", "headers", "body", now.alias("append_ts"))
+        .sortWithinPartitions("stream", "seq_num")
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", MAX_FILE_RECORDS)
+        .partitionBy("stream")
+        .parquet(target)
     )
-    ordered = rows.sortWithinPartitions("stream", "append_id", "seq_num")
-    _write(ordered, records_path(basin), "stream", "append_id")
-    written = based.groupBy("stream").agg(
+    written = spark.read.schema("seq_num bigint, stream string").parquet(target)
+    files = written.groupBy("stream", F.col("_metadata.file_name").alias("file")).agg(
         F.lit(writer).alias("writer"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
-        F.min("_base").alias("first_seq"),
-        (F.min("_base") + F.sum("_n")).alias("next_seq"),
-        F.sum("_n").alias("records"),
-        F.sum("_bytes").alias("bytes"),
+        F.min("seq_num").alias("first_seq"),
+        (F.max("seq_num") + 1).alias("next_seq"),
+        F.count("*").alias("records"),
         now.alias("append_ts"),
-        F.lit(append_id).alias("append_id"),
     )
-    _write(written.select(*POSITIONS_SCHEMA.names), positions_path(basin), "append_id")
-    placed.discard()
-    return append_id
-
-
-def _write(df: DataFrame, path: str, *partitions: str) -> None:
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
+        files.select([f for f in POSITIONS_SCHEMA.names if f != "append_id"])
+        .write.mode("overwrite")
+        .parquet(append_path(positions_path(basin), append_id))
     )
+    placed.discard()
+    return append_id
 
 
 def append_to_stream(df: DataFrame, basin: str, stream: str, **options) -> str:

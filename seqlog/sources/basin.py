@@ -2,7 +2,7 @@
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +15,10 @@ POSITIONS_SCHEMA = T.StructType(
         T.StructField("stream", T.StringType()),
         T.StructField("writer", T.StringType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("file", T.StringType()),
         T.StructField("first_seq", T.LongType()),
         T.StructField("next_seq", T.LongType()),
         T.StructField("records", T.LongType()),
-        T.StructField("bytes", T.LongType()),
         T.StructField("append_ts", T.TimestampType()),
         T.StructField("append_id", T.StringType()),
     ]
@@ -54,8 +54,19 @@ def records(spark: SparkSession, basin: str) -> DataFrame:
     return spark.read.schema(RECORDS_SCHEMA).parquet(records_path(basin))
 
 
+def append_path(table: str, append_id: str) -> str:
+    return f"{table}/append_id={append_id}"
+
+
+def is_committed(spark: SparkSession, basin: str, append_id: str) -> bool:
+    return path_exists(spark, f"{append_path(positions_path(basin), append_id)}/_SUCCESS")
+
+
 def positions(spark: SparkSession, basin: str) -> DataFrame:
-    """One row per stream and append; written last, so what it names is complete."""
+    """One row per record file: its stream, append and positions.
+
+    An append writes it last, so whatever it names is complete.
+    """
     return spark.read.schema(POSITIONS_SCHEMA).parquet(positions_path(basin))
 
 
@@ -91,9 +102,15 @@ def new_streams(listing: DataFrame, known: DataFrame) -> DataFrame:
     return live_streams(listing).join(known.select("stream"), "stream", "left_anti")
 
 
-def check_tail(spark: SparkSession, basin: str) -> DataFrame:
-    """Next position of every stream, from the append positions alone: (stream, next_seq)."""
-    ends = positions(spark, basin).groupBy("stream").agg(F.max("next_seq").alias("_end"))
+def check_tail(spark: SparkSession, basin: str, appends: Column | None = None) -> DataFrame:
+    """Next position of every stream, from the file positions alone: (stream, next_seq).
+
+    `appends` limits it to some appends, which gives the tails of an earlier time.
+    """
+    files = positions(spark, basin)
+    if appends is not None:
+        files = files.where(appends)
+    ends = files.groupBy("stream").agg(F.max("next_seq").alias("_end"))
     listing = list_streams(spark, basin).select("stream", "first_seq")
     return listing.join(ends, "stream", "left").select(
         "stream", F.coalesce("_end", "first_seq").alias("next_seq")

@@ -24,10 +24,10 @@ from seqlog.sources.options import NEXT, SourceOptions
 
 @dataclass
 class SeqRange(InputPartition):
-    """Positions [first, next) of a stream, all inside one append."""
+    """Positions [first, next) of a stream that are in one file."""
 
     stream: str
-    directory: str
+    file: str
     first: int
     next: int
 
@@ -60,23 +60,28 @@ def read_columns(path: str, columns: list[str]) -> list[dict]:
 
 
 class LogIndex:
-    """Driver-side view of a basin's metadata: one entry per stream and append, never records."""
+    """Driver-side view of a basin's metadata: one entry per unread record file, never records."""
 
     def __init__(self, basin: str):
         self.basin = basin
         self.seen: set[str] = set()
-        self.ranges: dict[str, list[tuple[int, int, str]]] = {}
+        self.files: dict[str, list[tuple[int, int, int, str]]] = {}
         self.tails: dict[str, int] = {}
 
     def refresh(self) -> None:
-        """Read the positions of appends that were not there last time."""
+        """Read the positions of appends finished since last time."""
         for directory in child_directories(positions_path(self.basin)):
             name = directory.rsplit("/", 1)[-1]
             if not name.startswith("append_id=") or name in self.seen:
                 continue
-            for row in read_columns(directory, ["stream", "first_seq", "next_seq"]):
-                stream, first, end = row["stream"], row["first_seq"], row["next_seq"]
-                self.ranges.setdefault(stream, []).append((first, end, name))
+            system, root = open_path(directory)
+            if not system.get_file_info(f"{root}/_SUCCESS").is_file:
+                continue
+            for row in read_columns(directory, ["stream", "file", "first_seq", "next_seq", "records"]):
+                stream, end = row["stream"], row["next_seq"]
+                file = f"{name}/stream={escape(stream)}/{row['file']}"
+                entry = (row["first_seq"], end, row["records"], file)
+                self.files.setdefault(stream, []).append(entry)
                 self.tails[stream] = max(end, self.tails.get(stream, 0))
             self.seen.add(name)
 
@@ -98,16 +103,18 @@ class LogIndex:
 
     def forget(self, offsets: dict[str, int]) -> None:
         for stream, position in offsets.items():
-            kept = [r for r in self.ranges.get(stream, []) if r[1] > position]
-            self.ranges[stream] = kept
+            self.files[stream] = [f for f in self.files.get(stream, []) if f[1] > position]
 
     def plan(self, stream: str, start: int, end: int, size: int) -> list[SeqRange]:
-        directory = f"{records_path(self.basin)}/stream={escape(stream)}"
+        """Ranges of at most about `size` records covering [start, end), each inside one file."""
         planned = []
-        for first, after, append in self.ranges.get(stream, []):
+        for first, after, records, file in self.files.get(stream, []):
             low, high = max(first, start), min(after, end)
-            for at in range(low, high, size):
-                planned.append(SeqRange(stream, f"{directory}/{append}", at, min(at + size, high)))
+            path = f"{records_path(self.basin)}/{file}"
+            step = max(1, (after - first) * size // max(records, 1))
+            planned += [
+                SeqRange(stream, path, at, min(at + step, high)) for at in range(low, high, step)
+            ]
         return planned
 
 
@@ -134,7 +141,7 @@ def read_range(partition: SeqRange):
             ("append_ts", pa.timestamp("us", tz="UTC")),
         ]
     )
-    system, root = open_path(partition.directory)
+    system, root = open_path(partition.file)
     dataset = ds.dataset(root, filesystem=system, format="parquet")
     at = ds.field("seq_num")
     wanted = (at >= partition.first) & (at < partition.next)

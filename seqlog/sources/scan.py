@@ -1,11 +1,11 @@
 """Bounded reads of the log: chosen streams, start positions, limits, progress."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqlog.functions.records import LOG_SCHEMA, metered_bytes
 from seqlog.plans.staging import join_side
-from seqlog.sources.basin import check_tail, list_streams, live_streams, records
+from seqlog.sources.basin import check_tail, list_streams, live_streams, positions, records
 from seqlog.sources.options import NEXT, SourceOptions
 
 
@@ -14,20 +14,26 @@ def scan(
 ) -> DataFrame:
     """Records of the selected streams from their start positions, as LOG_SCHEMA.
 
-    Stream names and prefixes prune partitions. `resume` holds (stream, next_seq); a stream in it
+    Stream names and prefixes prune partitions, and so do the start positions. `resume` holds (stream, next_seq); a stream in it
     starts there whatever the start behaviour, others start by `start_behavior`.
     """
-    rows = _selected(spark, options)
     starts = start_positions(spark, options, resume).select("stream", "_start")
-    placed = join_side(rows, starts, ["stream"], "inner", spread=F.col("seq_num"))
+    files = positions(spark, options.basin).where(_selected(options))
+    wanted = files.join(starts, "stream").where("next_seq > _start")
+    wanted = wanted.select("append_id", "stream", "_start").distinct()
+    rows = records(spark, options.basin).where(_selected(options))
+    if resume is not None or options.start_behavior == NEXT:
+        lowest = starts.agg(F.min("_start")).first()[0]
+        rows = rows.where(F.col("seq_num") >= F.lit(lowest))
+    # Both join keys are partition columns: appends before the start are not even listed for reading.
+    placed = join_side(rows, wanted, ["append_id", "stream"], "inner", spread=F.col("seq_num"))
     return placed.where(F.col("seq_num") >= F.col("_start")).select(*LOG_SCHEMA.names)
 
 
-def _selected(spark: SparkSession, options: SourceOptions) -> DataFrame:
-    rows = records(spark, options.basin)
+def _selected(options: SourceOptions) -> Column:
     if options.streams:
-        return rows.where(F.col("stream").isin(*options.streams))
-    return rows.where(F.startswith("stream", F.lit(options.discovery_prefix)))
+        return F.col("stream").isin(*options.streams)
+    return F.startswith("stream", F.lit(options.discovery_prefix))
 
 
 def start_positions(
@@ -35,8 +41,7 @@ def start_positions(
 ) -> DataFrame:
     """(stream, _start) for the fixed streams, or for the live ones with the prefix."""
     if options.streams:
-        listing = list_streams(spark, options.basin)
-        listing = listing.where(F.col("stream").isin(*options.streams))
+        listing = list_streams(spark, options.basin).where(_selected(options))
     else:
         listing = live_streams(list_streams(spark, options.basin, options.discovery_prefix))
     if options.start_behavior == NEXT:
@@ -46,17 +51,13 @@ def start_positions(
         begin = listing.withColumn("_start", F.col("first_seq"))
     if resume is None:
         return begin
+    begin = begin.join(resume.select("stream", "next_seq"), "stream", "left")
     if options.fail_on_data_loss:
-        begin = begin.join(resume.select("stream", "next_seq"), "stream", "left")
-        gap = F.col("next_seq") < F.col("first_seq")
+        gap = F.coalesce(F.col("next_seq") < F.col("first_seq"), F.lit(False))
         message = F.concat(F.lit("records below the first retained position are gone: "), "stream")
         begin = begin.where(
-            F.when(F.coalesce(gap, F.lit(False)), F.raise_error(message).cast("boolean")).otherwise(
-                F.lit(True)
-            )
+            F.when(gap, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
         )
-    else:
-        begin = begin.join(resume.select("stream", "next_seq"), "stream", "left")
     return begin.withColumn("_start", F.coalesce("next_seq", "_start"))
 
 
