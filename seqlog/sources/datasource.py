@@ -187,24 +187,31 @@ class SeqLogStreamReader(DataSourceStreamReader):
         first = declared.get(stream, {}).get("first_seq", 0)
         return max(self.index.tails.get(stream, 0), first)
 
+    def _first_position(self) -> dict[str, int]:
+        if self.options.start_behavior != NEXT:
+            return {}
+        self.index.refresh()
+        self._discover()
+        declared = self.index.declared()
+        return {s: self._tail(s, declared) for s in sorted(self.known)}
+
     def initialOffset(self) -> dict:
-        self.position = {}
-        if self.options.start_behavior == NEXT:
-            self.index.refresh()
-            self._discover()
-            declared = self.index.declared()
-            self.position = {s: self._tail(s, declared) for s in sorted(self.known)}
+        if self.position is None:
+            self.position = self._first_position()
         return dict(self.position)
 
     def latestOffset(self) -> dict:
         self.index.refresh()
         self._discover()
         declared = self.index.declared()
-        known = self.known | set(self.position or {})
-        latest = {s: self._tail(s, declared) for s in sorted(known)}
-        cap = self.options.max_records_per_stream
-        # After a restart the position is unknown until the first batch is planned: no cap then.
-        if cap and not self.options.available_now and self.position is not None:
+        # A restarted query plans its last batch again before it asks for the latest offset, so an
+        # unknown position means a new query.
+        if self.position is None:
+            self.position = self._first_position()
+        latest = {
+            s: self._tail(s, declared) for s in sorted(self.known | set(self.position))
+        }
+        if self.options.capped:
             for stream, tail in latest.items():
                 if stream in self.position:
                     start = self.position[stream]
@@ -212,7 +219,7 @@ class SeqLogStreamReader(DataSourceStreamReader):
                     start = tail
                 else:
                     start = declared.get(stream, {}).get("first_seq", 0)
-                latest[stream] = min(tail, start + cap)
+                latest[stream] = min(tail, start + self.options.max_records_per_stream)
         return latest
 
     def partitions(self, start: dict, end: dict) -> list[SeqRange]:
@@ -223,6 +230,8 @@ class SeqLogStreamReader(DataSourceStreamReader):
             first = declared.get(stream, {}).get("first_seq", 0)
             if stream in start:
                 begin = start[stream]
+                if stop < begin:
+                    raise ValueError(f"stream {stream}: asked to read from {begin} back to {stop}")
                 if begin < first and begin < stop:
                     if self.options.fail_on_data_loss:
                         raise ValueError(

@@ -64,6 +64,10 @@ class SourceOptions:
             if value is not None and value < 1:
                 raise ValueError(f"{name} must be at least 1, not {value}")
 
+    @property
+    def capped(self) -> bool:
+        return self.max_records_per_stream is not None and not self.available_now
+
     @classmethod
     def parse(cls, options: dict[str, str]) -> "SourceOptions":
         given = {k.lower(): v for k, v in options.items()}
