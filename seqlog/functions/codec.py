@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seqlog.functions.plan import computed_once
 from seqlog.functions.records import no_headers
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -58,28 +59,24 @@ def json_decode(log: DataFrame, schema: T.StructType, on_error: str = "fail", te
     kept = [c for c in log.columns if c != "body"]
     if on_error not in ("fail", "null", "dead_letter"):
         raise ValueError(f"on_error must be fail, null or dead_letter, not {on_error!r}")
+    columns = [F.col(f"_json.{f.name}").alias(f.name) for f in schema.fields]
     if on_error == "null":
-        decoded = log.withColumn("_json", F.from_json(source, schema))
-        return decoded.select(*kept, "_json.*")
+        parsed = {"_json": F.from_json(source, schema)}
+        return computed_once(log, kept, parsed).select(*kept, *columns)
     strict = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    decoded = log.withColumn("_text", source).withColumn(
-        "_json", F.from_json("_text", strict, options)
-    )
+    parsed = {"_text": source, "_json": F.from_json(source, strict, options)}
     # An empty body parses to a null struct and a malformed one to a struct of nulls.
     bad = F.when(
         F.col("_json").isNull() | F.col(f"_json.{CORRUPT}").isNotNull(),
         F.coalesce(F.col("_text"), F.lit("")),
     )
-    columns = [F.col(f"_json.{f.name}").alias(f.name) for f in schema.fields]
+    decoded = computed_once(log, kept, parsed)
     if on_error == "dead_letter":
         return decoded.select(*kept, *columns, bad.alias(CORRUPT))
-    checked = decoded.where(
-        F.when(bad.isNull(), F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("body is not the declared JSON: "), bad)).cast("boolean")
-        )
-    )
-    return checked.select(*kept, *columns)
+    message = F.concat(F.lit("body is not the declared JSON: "), bad)
+    sound = F.when(bad.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return decoded.where(sound).select(*kept, *columns)
 
 
 def json_body(columns: list[str]) -> Column:
@@ -110,7 +107,7 @@ _WHOLE_NUMBER = r"\A[+-]?[0-9]+\z"
 
 
 def _with_pairs(log: DataFrame) -> DataFrame:
-    """Add `_line`, `_reason` (shape faults only) and `_pairs`, the name-to-text map of a good line."""
+    """Add `_line`, `_fault` (faults of shape only) and `_pairs`, the name-to-text map of a good line."""
     # Empty pieces at the end of a line do not count; inner ones make it bad.
     lines = log.withColumn("_line", F.rtrim(body_text(), F.lit(";")))
     names = F.transform(F.split("_line", ";"), lambda p: F.substring_index(p, "=", 1))
@@ -122,7 +119,8 @@ def _with_pairs(log: DataFrame) -> DataFrame:
     return lines.withColumn("_fault", fault).withColumn("_pairs", pairs)
 
 
-def _parsed(log: DataFrame) -> DataFrame:
+def _parsed(log: DataFrame, keep: list[str]) -> DataFrame:
+    """`keep`, the event columns, and `reason`, null for a good line."""
     pairs = F.col("_pairs")
 
     def text(name: str) -> Column:
@@ -132,34 +130,34 @@ def _parsed(log: DataFrame) -> DataFrame:
         value = text(name)
         return F.when(value.rlike(_WHOLE_NUMBER), value.try_cast(kind))
 
-    frame = _with_pairs(log).select(
-        "*",
-        text("user").alias("_user"),
-        text("item").alias("_item"),
-        number("user", "int").alias("user_id"),
-        F.coalesce(text("action"), F.lit("search")).alias("action"),
-        number("item", "int").alias("item_id"),
-        text("search").alias("query"),
-        number("epoch_ms", "bigint").alias("epoch_ms"),
-    )
+    user, item, time = number("user", "int"), number("item", "int"), number("epoch_ms", "bigint")
     reason = F.coalesce(
         F.col("_fault"),
-        F.when(F.col("_user").isNull(), F.lit("no user")),
-        F.when(F.col("user_id").isNull(), F.lit("user")),
-        F.when(F.col("_item").isNotNull() & F.col("item_id").isNull(), F.lit("item")),
-        F.when(F.col("epoch_ms").isNull(), F.lit("epoch_ms")),
+        F.when(text("user").isNull(), F.lit("no user")),
+        F.when(user.isNull(), F.lit("user")),
+        F.when(text("item").isNotNull() & item.isNull(), F.lit("item")),
+        F.when(time.isNull(), F.lit("epoch_ms")),
     )
-    return frame.withColumn("reason", reason)
+    columns = {
+        "user_id": user,
+        "action": F.coalesce(text("action"), F.lit("search")),
+        "item_id": item,
+        "query": text("search"),
+        "epoch_ms": time,
+        "reason": reason,
+    }
+    return computed_once(_with_pairs(log), keep, columns)
 
 
 def parse_kv_events(log: DataFrame, keep: list[str] = ("stream", "seq_num")) -> DataFrame:
     """Typed events of the good lines. A missing action means `search`; unknown names are ignored."""
-    return _parsed(log).where("reason IS NULL").select(*keep, *EVENT_SCHEMA.names)
+    return _parsed(log, list(keep)).where("reason IS NULL").select(*keep, *EVENT_SCHEMA.names)
 
 
 def parse_kv_rejects(log: DataFrame, keep: list[str] = ("stream", "seq_num")) -> DataFrame:
     """The lines parse_kv_events drops, each with the first reason found."""
-    return _parsed(log).where("reason IS NOT NULL").select(*keep, body_text().alias("body"), "reason")
+    rejects = _parsed(log, [*keep, "body"]).where("reason IS NOT NULL")
+    return rejects.select(*keep, body_text().alias("body"), "reason")
 
 
 def event_time(epoch_ms="epoch_ms") -> Column:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqlog.functions.codec import body_text, json_body
+from seqlog.functions.plan import computed_once
 from seqlog.functions.records import (
     ACTION_HEADER,
     DELETE_FLAG,
@@ -65,7 +66,7 @@ def upsert_encode(
 
 def with_key_action(log: DataFrame) -> DataFrame:
     """Add `_key` (bytes) and `_action`; both null where the headers do not settle them."""
-    found = log.withColumn("_found", key_and_action())
+    found = computed_once(log, log.columns, {"_found": key_and_action()})
     return found.select(
         *log.columns, F.col("_found.key").alias("_key"), F.col("_found.action").alias("_action")
     )
@@ -99,9 +100,12 @@ def _decode_parts(found: DataFrame, schema: T.StructType, keys: list[str], keep)
     value_schema = T.StructType([schema[c] for c in value_columns])
     strict = {"mode": "FAILFAST"}
     live = F.when(F.octet_length("body") > 0, body_text())
-    decoded = found.withColumn(
-        "_k", F.from_json(F.make_valid_utf8(F.col("_key").cast("string")), key_schema, strict)
-    ).withColumn("_v", F.from_json(live, value_schema, strict))
+    key = F.make_valid_utf8(F.col("_key").cast("string"))
+    decoded = computed_once(
+        found,
+        [*keep, "_action"],
+        {"_k": F.from_json(key, key_schema, strict), "_v": F.from_json(live, value_schema, strict)},
+    )
     columns = [
         F.col(f"_k.{c}" if c in key_columns else f"_v.{c}").alias(c) for c in schema.names
     ]

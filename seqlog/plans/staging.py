@@ -65,7 +65,14 @@ def join_side(
     `spread` (any well-mixed integer of the large side) salts the keys, so a key holding a third of
     all rows still lands in many tasks.
     """
-    if side.limit(limit + 1).count() <= limit:
+    return join_counted(rows, side, on, how, spread, side.limit(limit + 1).count() <= limit)
+
+
+def join_counted(
+    rows: DataFrame, side: DataFrame, on: list[str], how: str, spread: Column, small: bool
+) -> DataFrame:
+    """join_side for a caller that has counted the side itself."""
+    if small:
         return rows.join(F.broadcast(side), on, how)
     salted_rows = rows.withColumn("_salt", F.pmod(spread.cast("bigint"), F.lit(SALTS)).cast("int"))
     salted_side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

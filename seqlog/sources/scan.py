@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqlog.functions.records import LOG_SCHEMA, metered_bytes
-from seqlog.plans.staging import join_side
+from seqlog.plans.staging import SMALL_SIDE_ROWS, join_counted
 from seqlog.sources.basin import check_tail, list_streams, live_streams, positions, records
 from seqlog.sources.options import NEXT, SourceOptions
 
@@ -21,12 +21,19 @@ def scan(
     files = positions(spark, options.basin).where(_selected(options))
     wanted = files.join(starts, "stream").where("next_seq > _start")
     wanted = wanted.select("append_id", "stream", "_start").distinct()
+    entries, lowest = wanted.agg(F.count("*"), F.min("_start")).first()
     rows = records(spark, options.basin).where(_selected(options))
-    if resume is not None or options.start_behavior == NEXT:
-        lowest = starts.agg(F.min("_start")).first()[0]
+    if lowest:
         rows = rows.where(F.col("seq_num") >= F.lit(lowest))
-    # Both join keys are partition columns: appends before the start are not even listed for reading.
-    placed = join_side(rows, wanted, ["append_id", "stream"], "inner", spread=F.col("seq_num"))
+    # Both join keys are partition columns: appends that end before the start are not read at all.
+    placed = join_counted(
+        rows,
+        wanted,
+        ["append_id", "stream"],
+        "inner",
+        spread=F.col("seq_num"),
+        small=entries <= SMALL_SIDE_ROWS,
+    )
     return placed.where(F.col("seq_num") >= F.col("_start")).select(*LOG_SCHEMA.names)
 
 
