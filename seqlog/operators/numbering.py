@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqlog.plans.staging import join_side, remove_path, stage
 
@@ -32,14 +33,17 @@ def place(df: DataFrame, keys: list[str], order: list) -> Placed:
     """Order `df` by key and `order`, write it once, and measure the runs.
 
     With an order, rows are range-partitioned, so a key with a third of all rows is cut across many
-    partitions; the arrival place breaks ties and also splits a run of equal values. Without one the
-    arrival order stands and nothing is shuffled. The written copy matters: range bounds come from
-    sampling, so two separate runs of the plan need not agree on them.
+    partitions. Ties go by content, so that a task run again after a lost executor sends its rows
+    where they went before; equal rows go by arrival, which lets a long run of them be cut as well.
+    Without an order the arrival order stands and nothing is shuffled. The written copy matters:
+    range bounds come from sampling, so two separate runs of the plan need not agree on them.
     """
     if order:
-        sort = [*keys, *order, "_arrival"]
+        hashable = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+        df = df.withColumn("_content", F.xxhash64(*hashable))
         df = df.withColumn("_arrival", F.monotonically_increasing_id())
-        df = df.repartitionByRange(*sort).sortWithinPartitions(*sort).drop("_arrival")
+        sort = [*keys, *order, "_content", "_arrival"]
+        df = df.repartitionByRange(*sort).sortWithinPartitions(*sort).drop("_content", "_arrival")
     placed = df.withColumn("_part", F.spark_partition_id()).withColumn(
         "_at", F.monotonically_increasing_id()
     )
@@ -55,6 +59,10 @@ def place(df: DataFrame, keys: list[str], order: list) -> Placed:
     return Placed(rows, runs, tuple(keys), (rows_path, runs_path))
 
 
+def _has_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString()
+
+
 def numbered(placed: Placed, name: str, base: str | None = None) -> DataFrame:
     """Attach the zero-based (or `base`-based) number. Needs one run per key and partition."""
     start = F.col("_before") - F.col("_from")

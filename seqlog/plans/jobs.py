@@ -77,9 +77,9 @@ def features(converted: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def conversions_stream(
-    log: DataFrame, sequence: Sequence | None = None, lateness: str = LATENESS
+    logs: list[DataFrame], sequence: Sequence | None = None, lateness: str = LATENESS
 ) -> DataFrame:
-    events = parse_kv_events(log)
+    events = [parse_kv_events(log) for log in logs]
     found = match_sequence_stream(
         events, sequence or conversion_sequence(), ["user_id"], lateness=lateness
     )
@@ -116,15 +116,22 @@ def start_conversions(
     lateness: str = LATENESS,
     trigger: str | None = TRIGGER,
     max_records_per_stream: int | None = None,
+    prefixes: tuple[str, ...] = (EVENT_PREFIX,),
 ) -> StreamingQuery:
-    """Event streams to the rollup stream."""
-    source = SourceOptions(
-        basin,
-        discovery_prefix=EVENT_PREFIX,
-        discovery_interval_ms=REDISCOVERY_MS,
-        max_records_per_stream=max_records_per_stream,
-    )
-    found = conversions_stream(read_stream(spark, source), sequence, lateness)
+    """Event streams to the rollup stream. Each prefix is a group with a watermark of its own."""
+    logs = [
+        read_stream(
+            spark,
+            SourceOptions(
+                basin,
+                discovery_prefix=prefix,
+                discovery_interval_ms=REDISCOVERY_MS,
+                max_records_per_stream=max_records_per_stream,
+            ),
+        )
+        for prefix in prefixes
+    ]
+    found = conversions_stream(logs, sequence, lateness)
     sink = append_sink(basin, F.lit(ROLLUP_STREAM), "conversions", encode_json)
     return _start(found.writeStream.foreachBatch(sink), checkpoint, trigger)
 

@@ -1,6 +1,7 @@
 """Sequence matching on a stream, in event-time order, with bounded state."""
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
@@ -112,7 +113,7 @@ class SequenceMatcher(StatefulProcessor):
 
 
 def match_sequence_stream(
-    events: DataFrame,
+    events: DataFrame | list[DataFrame],
     sequence: Sequence,
     keys: list[str],
     time_ms: str = "epoch_ms",
@@ -123,14 +124,23 @@ def match_sequence_stream(
 
     A match appears once the watermark has passed its last row. Rows with `late_rows` set report
     how many events of a key came too late; the other rows have it null and are the matches.
+
+    Several frames keep a watermark each and the slowest one counts, so a group of streams that lags
+    behind the others does not become late; a group without new events then holds the others back.
     """
-    rows, inputs = bucketed(events, sequence, list(keys), time_ms, list(ties))
-    timed = rows.withColumn("_time", F.timestamp_millis("_ms")).withWatermark("_time", lateness)
-    state = T.StructType([f for f in rows.schema.fields if f.name not in (*keys, "_bucket")])
+    groups = events if isinstance(events, list) else [events]
+    parts = []
+    for group in groups:
+        rows, inputs = bucketed(group, sequence, list(keys), time_ms, list(ties))
+        timed = rows.withColumn("_time", F.timestamp_millis("_ms"))
+        parts.append(timed.withWatermark("_time", lateness))
+    timed = reduce(DataFrame.unionByName, parts)
+    types = rows.schema
+    state = T.StructType([f for f in types.fields if f.name not in (*keys, "_bucket")])
     output = T.StructType(
-        [T.StructField(k, rows.schema[k].dataType) for k in keys]
+        [T.StructField(k, types[k].dataType) for k in keys]
         + [
-            T.StructField(name, rows.schema[f"_in{inputs.index(column)}"].dataType)
+            T.StructField(name, types[f"_in{inputs.index(column)}"].dataType)
             for name, (_, column) in sequence.measures.items()
         ]
         + [T.StructField(LATE, T.LongType())]

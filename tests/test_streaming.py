@@ -494,6 +494,34 @@ def test_a_quiet_stream_does_not_hold_the_watermark(spark, basin, checkpoint):
     assert len(body_texts(spark, basin, ROLLUP_STREAM)) == 1
 
 
+@pytest.mark.parametrize("grouped", [False, True])
+def test_a_lagging_group_with_its_own_watermark_is_not_late(spark, basin, checkpoint, grouped):
+    """One host runs an hour behind the other; read batch by batch."""
+
+    def lines(host, user, start):
+        steps = ["search=q", "item=1;action=view", "item=1;action=cart", "item=1;action=buy"]
+        return [(host, f"user={user};{what};epoch_ms={start + i}") for i, what in enumerate(steps)]
+
+    early, late = lines("host/a", 1, 1_000), lines("host/b", 2, 3_600_000)
+    early.append(("host/a", "user=1;search=z;epoch_ms=7000000"))
+    late.append(("host/b", "user=2;search=z;epoch_ms=7000000"))
+    append_lines(spark, basin, early + late)
+    # A batch holds one record of each stream, so the watermark of one query soon passes host/a.
+    drain(
+        start_conversions(
+            spark,
+            basin,
+            checkpoint,
+            trigger=None,
+            max_records_per_stream=1,
+            prefixes=("host/a", "host/b") if grouped else ("host/",),
+        )
+    )
+    log = records(spark, basin).where(F.col("stream") == ROLLUP_STREAM)
+    users = {r["userId"] for r in json_decode(log.select("body"), CONVERSION_SCHEMA).collect()}
+    assert users == ({1, 2} if grouped else {2})
+
+
 def test_watermark_column(spark, basin, checkpoint):
     append_lines(spark, basin, [("host/0", line) for line in SAMPLE])
     events = with_watermark(parse_kv_events(read_stream(spark, SourceOptions(basin, ("host/0",)))))
