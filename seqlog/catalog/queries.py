@@ -48,7 +48,7 @@ from seqlog.plans.jobs import (
     start_features,
 )
 from seqlog.plans.session import configure
-from seqlog.plans.staging import scratch_path
+from seqlog.plans.staging import scratch_path, stage
 from seqlog.plans.tables import UPSERT, LogTable, Tables
 from seqlog.sinks.append import append_to_stream, append_to_streams, write_upserts
 from seqlog.sources.basin import check_tail, list_streams, live_streams, new_streams
@@ -542,7 +542,8 @@ def stream_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Found conversions against a doctored copy: a third left out, some with another item."""
-    known = match_conversions(spark, sf_dir)
+    # Both sides read the matches: write them once.
+    known, _ = stage(match_conversions(spark, sf_dir), "conversions")
     kept = known.where(F.col("userId") % 3 != 0)
     changed = F.when(F.col("userId") % 5 == 0, F.col("matchedItemId") + 100)
     doctored = kept.withColumn("matchedItemId", F.coalesce(changed, F.col("matchedItemId")))
