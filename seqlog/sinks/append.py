@@ -1,5 +1,6 @@
 """Appending records to streams with contiguous, ordered positions."""
 
+import re
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
@@ -11,27 +12,28 @@ from seqlog.functions.records import HEADER_TYPE, metered_bytes
 from seqlog.operators.batching import MAX_RECORD_BYTES, checked
 from seqlog.operators.changelog import compact_upserts, upsert_encode
 from seqlog.operators.numbering import numbered, place
+from seqlog.plans.staging import remove_path
 from seqlog.sources.basin import (
     POSITIONS_SCHEMA,
+    append_name,
     append_path,
     check_tail,
     is_committed,
-    positions,
+    newest_snapshot,
     positions_path,
+    read_tails,
     records_path,
+    snapshots,
+    tails_path,
 )
 
 MAX_FILE_RECORDS = 1_000_000
-
-
-def append_name(writer: str, batch_id: int) -> str:
-    return f"{writer}-{batch_id:012d}"
+KEPT_SNAPSHOTS = 1000
 
 
 def next_batch(spark: SparkSession, basin: str, writer: str) -> int:
-    done = positions(spark, basin).where(F.col("writer") == writer)
-    last = done.agg(F.max("batch_id")).first()[0]
-    return 0 if last is None else last + 1
+    newest = newest_snapshot(spark, basin, writer)
+    return 0 if newest is None else newest + 1
 
 
 def append_to_streams(
@@ -52,6 +54,8 @@ def append_to_streams(
     """
     spark = df.sparkSession
     checked("max_record_bytes", max_record_bytes, 1, MAX_RECORD_BYTES)
+    if not re.fullmatch(r"[A-Za-z0-9_.]+", writer):
+        raise ValueError(f"writer must be letters, digits, _ and . only, not {writer!r}")
     if batch_id is None:
         batch_id = next_batch(spark, basin, writer)
     append_id = append_name(writer, batch_id)
@@ -100,6 +104,10 @@ def append_to_streams(
         F.count("*").alias("records"),
         now.alias("append_ts"),
     )
+    ends = based.groupBy("stream").agg(
+        now.alias("created_at"), (F.min("_base") + F.sum("_n")).alias("next_seq")
+    )
+    _carry_tails_forward(ends, basin, writer, batch_id)
     (
         files.select([f for f in POSITIONS_SCHEMA.names if f != "append_id"])
         .write.mode("overwrite")
@@ -109,6 +117,20 @@ def append_to_streams(
     return append_id
 
 
+def _carry_tails_forward(ends: DataFrame, basin: str, writer: str, batch_id: int) -> None:
+    """Write the writer's tails after this append. Old snapshots go, but only long after the last
+    query that may have been planned on them."""
+    spark = ends.sparkSession
+    before = newest_snapshot(spark, basin, writer, before=batch_id)
+    known = [] if before is None else [tails_path(basin, writer, before)]
+    tails = read_tails(spark, known).unionByName(ends).groupBy("stream").agg(
+        F.min("created_at").alias("created_at"), F.max("next_seq").alias("next_seq")
+    )
+    tails.write.mode("overwrite").parquet(tails_path(basin, writer, batch_id))
+    for old in snapshots(spark, basin, writer)[KEPT_SNAPSHOTS:]:
+        remove_path(spark, tails_path(basin, writer, old))
+
+
 def append_to_stream(df: DataFrame, basin: str, stream: str, **options) -> str:
     """append_to_streams with a single target stream."""
     if not basin or not stream:

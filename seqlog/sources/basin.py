@@ -1,4 +1,4 @@
-"""The three Parquet tables of a basin: records, positions of appends, and declared streams."""
+"""The Parquet tables of a basin: records, their positions, tails, and declared streams."""
 
 import time
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqlog.functions.records import LOG_SCHEMA, STREAMS_SCHEMA
-from seqlog.plans.staging import path_exists
+from seqlog.plans.staging import child_names, path_exists
 
 RECORDS_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("append_id", T.StringType())])
 POSITIONS_SCHEMA = T.StructType(
@@ -23,6 +23,13 @@ POSITIONS_SCHEMA = T.StructType(
         T.StructField("append_id", T.StringType()),
     ]
 )
+TAILS_SCHEMA = T.StructType(
+    [
+        T.StructField("stream", T.StringType()),
+        T.StructField("created_at", T.TimestampType()),
+        T.StructField("next_seq", T.LongType()),
+    ]
+)
 DECLARED_SCHEMA = T.StructType([*STREAMS_SCHEMA.fields, T.StructField("version", T.LongType())])
 
 
@@ -38,6 +45,18 @@ def streams_path(basin: str) -> str:
     return f"{basin.rstrip('/')}/streams"
 
 
+def tails_path(basin: str, writer: str = "", batch_id: int | None = None) -> str:
+    """Folder of the snapshots, of one writer's snapshots, or of one snapshot."""
+    path = f"{basin.rstrip('/')}/tails"
+    if writer:
+        path += f"/writer={writer}"
+    return path if batch_id is None else f"{path}/batch={batch_id:012d}"
+
+
+def append_name(writer: str, batch_id: int) -> str:
+    return f"{writer}-{batch_id:012d}"
+
+
 def create_basin(spark: SparkSession, basin: str) -> str:
     """Make an empty basin; an existing one is left as it is."""
     if not path_exists(spark, streams_path(basin)):
@@ -76,15 +95,55 @@ def declare_streams(spark: SparkSession, basin: str, streams: DataFrame) -> None
     rows.write.mode("append").parquet(streams_path(basin))
 
 
+def snapshots(spark: SparkSession, basin: str, writer: str) -> list[int]:
+    """Batches of a writer with a snapshot of its tails, newest first."""
+    names = child_names(spark, tails_path(basin, writer))
+    return sorted((int(n.split("=")[1]) for n in names if n.startswith("batch=")), reverse=True)
+
+
+def newest_snapshot(
+    spark: SparkSession, basin: str, writer: str, before: int | None = None
+) -> int | None:
+    """The writer's newest batch whose append is finished, optionally below batch `before`."""
+    for batch_id in snapshots(spark, basin, writer):
+        if before is not None and batch_id >= before:
+            continue
+        if is_committed(spark, basin, append_name(writer, batch_id)):
+            return batch_id
+    return None
+
+
+def read_tails(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(stream, created_at, next_seq), folded over snapshots."""
+    if not paths:
+        return spark.createDataFrame([], TAILS_SCHEMA)
+    rows = spark.read.schema(TAILS_SCHEMA).parquet(*paths)
+    return rows.groupBy("stream").agg(
+        F.min("created_at").alias("created_at"), F.max("next_seq").alias("next_seq")
+    )
+
+
+def current_tails(spark: SparkSession, basin: str) -> DataFrame:
+    """Tails of every appended stream. Each append carries its writer's tails forward, so only the
+    newest snapshot of each writer is read, however many appends there are."""
+    paths = []
+    for name in child_names(spark, tails_path(basin)):
+        writer = name.removeprefix("writer=")
+        newest = newest_snapshot(spark, basin, writer)
+        if newest is not None:
+            paths.append(tails_path(basin, writer, newest))
+    return read_tails(spark, paths)
+
+
 def list_streams(spark: SparkSession, basin: str, prefix: str = "") -> DataFrame:
     """Every stream of the basin once: its newest declaration, or what its first append tells."""
     declared = spark.read.schema(DECLARED_SCHEMA).parquet(streams_path(basin))
-    appended = positions(spark, basin).select(
+    appended = current_tails(spark, basin).select(
         "stream",
-        F.col("append_ts").alias("created_at"),
+        "created_at",
         F.lit(None).cast("timestamp").alias("deleted_at"),
         F.lit(0).cast("bigint").alias("first_seq"),
-        (-F.unix_micros("append_ts")).alias("version"),
+        F.lit(-1).cast("bigint").alias("version"),
     )
     entries = declared.unionByName(appended).where(F.startswith("stream", F.lit(prefix)))
     newest = entries.groupBy("stream").agg(
@@ -103,14 +162,15 @@ def new_streams(listing: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def check_tail(spark: SparkSession, basin: str, appends: Column | None = None) -> DataFrame:
-    """Next position of every stream, from the file positions alone: (stream, next_seq).
+    """Next position of every stream: (stream, next_seq). No record is read.
 
-    `appends` limits it to some appends, which gives the tails of an earlier time.
+    `appends`, a condition on positions, limits it to some appends: the tails of an earlier time.
     """
-    files = positions(spark, basin)
-    if appends is not None:
-        files = files.where(appends)
-    ends = files.groupBy("stream").agg(F.max("next_seq").alias("_end"))
+    if appends is None:
+        ends = current_tails(spark, basin).select("stream", F.col("next_seq").alias("_end"))
+    else:
+        files = positions(spark, basin).where(appends)
+        ends = files.groupBy("stream").agg(F.max("next_seq").alias("_end"))
     listing = list_streams(spark, basin).select("stream", "first_seq")
     return listing.join(ends, "stream", "left").select(
         "stream", F.coalesce("_end", "first_seq").alias("next_seq")

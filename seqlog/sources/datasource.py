@@ -47,7 +47,7 @@ def child_directories(path: str) -> list[str]:
     from pyarrow import fs
 
     system, root = open_path(path)
-    found = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    found = system.get_file_info(fs.FileSelector(root))
     return [info.path for info in found if info.type == fs.FileType.Directory]
 
 

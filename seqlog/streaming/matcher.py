@@ -53,10 +53,10 @@ class SequenceMatcher(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs()
         at = self.places["_ms"]
-        held = [tuple(row) for row in self.ahead.get()] if self.ahead.exists() else []
+        held = [tuple(row) for row in self.ahead.get()]
         ready = [row for row in held if row[at] <= mark]
         waiting = [row for row in held if row[at] > mark]
-        tail = [tuple(row) for row in self.tail.get()] if self.tail.exists() else []
+        tail = [tuple(row) for row in self.tail.get()]
         order = [self.places[n] for n in self.state.names if n == "_ms" or n.startswith("_tie")]
         line = tail + sorted(ready, key=lambda row: tuple(row[i] for i in order))
         for found in self._matches(line):
@@ -80,7 +80,7 @@ class SequenceMatcher(StatefulProcessor):
     def _keep(state, rows: list[tuple]) -> None:
         if rows:
             state.put(rows)
-        elif state.exists():
+        else:
             state.clear()
 
     def _matches(self, line: list[tuple]) -> Iterator[dict]:

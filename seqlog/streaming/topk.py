@@ -33,10 +33,10 @@ class CountingTopK(StatefulProcessor):
         added: dict = {}
         for row in rows:
             added[row["value"]] = added.get(row["value"], 0) + row["n"]
-        before = [tuple(r) for r in self.best.get()] if self.best.exists() else []
+        before = [tuple(r) for r in self.best.get()]
         candidates = dict(before)
         for value, n in added.items():
-            held = self.counts.getValue((value,)) if self.counts.containsKey((value,)) else None
+            held = self.counts.getValue((value,))
             total = n + (held[0] if held else 0)
             self.counts.updateValue((value,), (total,))
             candidates[value] = total

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from seqlog.functions.records import STREAMS_SCHEMA, no_headers
 from seqlog.plans.staging import join_side, path_exists, scratch_path, shared_root
 from seqlog.plans.tables import UPSERT, LogTable, Tables
+from seqlog.sinks import append
 from seqlog.sinks.append import append_to_stream, append_to_streams, write_upserts
 from seqlog.sources.basin import (
     append_path,
@@ -18,6 +19,7 @@ from seqlog.sources.basin import (
     positions,
     positions_path,
     records,
+    snapshots,
 )
 from seqlog.sources.datasource import escape, register
 from seqlog.sources.options import REFUSED, SourceOptions
@@ -90,6 +92,29 @@ def test_a_broken_append_is_replaced(spark, basin):
     assert texts(scan(spark, source)) == [("a", 0, "0"), ("a", 1, "1"), ("a", 2, "2")]
 
 
+def test_tails_are_carried_forward(spark, basin, monkeypatch):
+    """Only a writer's newest snapshots stay, and they know streams its last appends did not touch."""
+    monkeypatch.setattr(append, "KEPT_SNAPSHOTS", 4)
+    for i in range(7):
+        append_lines(spark, basin, [("a" if i else "b", str(i))], writer="one")
+    append_lines(spark, basin, [("c", "0")], writer="two")
+    tails = dict(pairs(check_tail(spark, basin), "stream", "next_seq"))
+    assert tails == {"a": 6, "b": 1, "c": 1}
+    assert snapshots(spark, basin, "one") == [6, 5, 4, 3]
+    assert pairs(list_streams(spark, basin), "stream") == [("a",), ("b",), ("c",)]
+    earlier = check_tail(spark, basin, F.col("append_id") <= "one-000000000002")
+    assert dict(pairs(earlier, "stream", "next_seq")) == {"a": 2, "b": 1, "c": 0}
+    with pytest.raises(ValueError, match="writer"):
+        append_lines(spark, basin, [("a", "x")], writer="a/b")
+
+
+def test_a_missing_basin_is_an_error(spark):
+    register(spark)
+    reader = spark.read.format("seqlog").option("basin", scratch_path(spark, "nothing"))
+    with pytest.raises(Exception):
+        reader.option("discoveryPrefix", "h/").load().collect()
+
+
 def test_an_append_leaves_no_staging_behind(spark, basin):
     folder = f"{shared_root(spark)}/seqlog-{spark.sparkContext.applicationId}"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
