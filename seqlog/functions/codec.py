@@ -2,7 +2,7 @@
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,17 @@ def flat_decode(log: DataFrame, fn: Callable[[Iterator], Iterator], schema) -> D
     return log.select("stream", "seq_num", "headers", "body").mapInArrow(fn, schema)
 
 
+def register_decoder(spark: SparkSession, name: str, fn: Callable, schema: str) -> None:
+    """The same for SQL: `fn(stream, seq_num, body)` yields tuples, and `name` becomes a table
+    function for lateral joins, as in `FROM log, LATERAL name(stream, seq_num, body)`."""
+
+    class Decoder:
+        def eval(self, stream: str, seq_num: int, body: bytes):
+            yield from fn(stream, seq_num, body)
+
+    spark.udtf.register(name, F.udtf(Decoder, returnType=schema))
+
+
 def json_decode(log: DataFrame, schema: T.StructType, on_error: str = "fail", text=None) -> DataFrame:
     """Body to the declared columns, beside whatever else the frame carries.
 

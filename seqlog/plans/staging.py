@@ -30,6 +30,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/seqlog-{application}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote under scratch_path; for the end of a job."""
+    remove_path(spark, f"{shared_root(spark)}/seqlog-{spark.sparkContext.applicationId}")
+
+
 def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write `df` once; return it as read back from the written table, and the table's path.
 

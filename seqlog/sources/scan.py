@@ -90,3 +90,12 @@ def stream_progress(consumed: DataFrame) -> DataFrame:
         F.count("*").alias("consumed_records"),
         F.sum(metered_bytes()).alias("consumed_bytes"),
     )
+
+
+def observe_progress(log: DataFrame, name: str = "progress") -> DataFrame:
+    """The same totals as a metric of every micro-batch, found in the query's progress."""
+    return log.observe(
+        name,
+        F.count(F.lit(1)).alias("consumed_records"),
+        F.coalesce(F.sum(metered_bytes()), F.lit(0)).alias("consumed_bytes"),
+    )

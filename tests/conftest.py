@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from seqlog.plans.session import configure  # noqa: E402
-from seqlog.plans.staging import scratch_path  # noqa: E402
+from seqlog.plans.staging import remove_scratch, scratch_path  # noqa: E402
 from seqlog.sources.basin import create_basin  # noqa: E402
 
 
@@ -23,6 +23,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)
+    remove_scratch(session)
     session.stop()
 
 

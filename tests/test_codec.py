@@ -13,6 +13,7 @@ from seqlog.functions.codec import (
     json_decode,
     parse_kv_events,
     parse_kv_rejects,
+    register_decoder,
     with_event_time,
 )
 from seqlog.functions.records import header, metered_bytes
@@ -103,6 +104,19 @@ def test_flat_decode_gives_any_number_of_rows(spark):
     assert [r["word"] for r in out.collect()] == ["a", "b", "c"]
 
 
+def test_sql_decoder(spark):
+    def letters(stream, seq_num, body):
+        for letter in body.decode():
+            yield (f"{stream}{seq_num}", letter)
+
+    register_decoder(spark, "letters", letters, "place string, letter string")
+    log_frame(spark, ["ab", "", "c"]).createOrReplaceTempView("lettered_log")
+    rows = spark.sql(
+        "SELECT l.* FROM lettered_log t, LATERAL letters(t.stream, t.seq_num, t.body) l"
+    ).collect()
+    assert sorted(tuple(r) for r in rows) == [("s0", "a"), ("s0", "b"), ("s2", "c")]
+
+
 SCHEMA = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
 
 

@@ -45,7 +45,7 @@ from seqlog.sinks.append import append_sink, append_to_stream, fan_out, upsert_s
 from seqlog.sources.basin import records
 from seqlog.sources.datasource import read_stream
 from seqlog.sources.options import SourceOptions
-from seqlog.sources.scan import scan
+from seqlog.sources.scan import observe_progress, scan
 from seqlog.streaming.matcher import match_sequence_stream, matches_only
 from seqlog.streaming.topk import top_k_stream
 from tests.helpers import append_lines, declare
@@ -159,6 +159,18 @@ def test_start_at_next_is_pinned(spark, basin, checkpoint):
     assert run(seqs(read_stream(spark, source)), checkpoint).rows == [("h/0", 2)]
 
 
+def test_progress_is_a_metric_of_every_batch(spark, basin, checkpoint):
+    append_lines(spark, basin, [("a", "xx"), ("a", "yyy"), ("b", "z")])
+    log = observe_progress(read_stream(spark, SourceOptions(basin, ("a", "b"))))
+    query = start(log, checkpoint, Sink())
+    try:
+        query.processAllAvailable()
+        observed = [p.observedMetrics["progress"] for p in query.recentProgress if p.numInputRows]
+    finally:
+        query.stop()
+    assert [(o["consumed_records"], o["consumed_bytes"]) for o in observed] == [(3, 6)]
+
+
 def test_cap_bounds_every_batch(spark, basin, checkpoint):
     append_lines(spark, basin, [("a", str(i)) for i in range(10)] + [("b", "0")])
     source = SourceOptions(basin, ("a", "b"), max_records_per_stream=4)
