@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqlog.functions.records import LOG_SCHEMA, STREAMS_SCHEMA
-from seqlog.plans.staging import child_names, path_exists
+from seqlog.plans.staging import child_names, make_directory, path_exists
 
 RECORDS_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("append_id", T.StringType())])
 POSITIONS_SCHEMA = T.StructType(
@@ -59,13 +59,8 @@ def append_name(writer: str, batch_id: int) -> str:
 
 def create_basin(spark: SparkSession, basin: str) -> str:
     """Make an empty basin; an existing one is left as it is."""
-    if not path_exists(spark, streams_path(basin)):
-        for path, schema in (
-            (records_path(basin), RECORDS_SCHEMA),
-            (positions_path(basin), POSITIONS_SCHEMA),
-            (streams_path(basin), DECLARED_SCHEMA),
-        ):
-            spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    for path in (records_path(basin), positions_path(basin), streams_path(basin)):
+        make_directory(spark, path)
     return basin
 
 
@@ -116,7 +111,8 @@ def newest_snapshot(
 def read_tails(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(stream, created_at, next_seq), folded over snapshots."""
     if not paths:
-        return spark.createDataFrame([], TAILS_SCHEMA)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in TAILS_SCHEMA.fields]
+        return spark.range(0).select(*nothing)
     rows = spark.read.schema(TAILS_SCHEMA).parquet(*paths)
     return rows.groupBy("stream").agg(
         F.min("created_at").alias("created_at"), F.max("next_seq").alias("next_seq")

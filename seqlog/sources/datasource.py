@@ -55,8 +55,8 @@ def read_columns(path: str, columns: list[str]) -> list[dict]:
     import pyarrow.dataset as ds
 
     system, root = open_path(path)
-    table = ds.dataset(root, filesystem=system, format="parquet").to_table(columns=columns)
-    return table.to_pylist()
+    dataset = ds.dataset(root, filesystem=system, format="parquet")
+    return dataset.to_table(columns=columns).to_pylist() if dataset.files else []
 
 
 class LogIndex:
