@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqlog.functions.plan import computed_once
 from seqlog.functions.records import HEADER_TYPE, metered_bytes
 from seqlog.operators.batching import MAX_RECORD_BYTES, checked
 from seqlog.operators.changelog import compact_upserts, upsert_encode
@@ -47,8 +48,8 @@ def append_to_streams(
 ) -> str:
     """Append records (`headers`, `body`) to the streams named by `route`; returns the append's name.
 
-    Positions continue each stream's tail, gap-free and ascending by `order_by` (arrival order without one).
-    Many tasks write one stream. An append is known by writer and batch id: repeating a finished one
+    Positions continue each stream's tail, gap-free and ascending by `order_by` (arrival order
+    without one). Many tasks write one stream. An append is known by writer and batch id: repeating a finished one
     adds nothing, repeating a broken one replaces what it left. One writer per stream is assumed. A
     record above `max_record_bytes` fails the append.
     """
@@ -71,6 +72,8 @@ def append_to_streams(
         F.col("body").cast("binary").alias("body"),
         *[c.alias(n) for c, n in zip(order, order_names)],
     )
+    # The size check must not make Spark encode every record a second time.
+    rows = computed_once(rows, [], {name: F.col(name) for name in rows.columns})
     problem = F.when(F.col("stream").isNull(), F.lit("record without a stream")).when(
         metered_bytes() > F.lit(max_record_bytes),
         F.concat(F.lit("record over the size limit in "), F.col("stream")),
