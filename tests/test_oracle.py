@@ -7,7 +7,9 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from seqlog.catalog.oracle import ORACLE
+from seqlog.catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -38,11 +40,11 @@ def normal(columns, rows):
     return [columns[i] for i in order], sorted(bag, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    frame = queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     got = normal(frame.columns, [tuple(r) for r in frame.collect()])
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(ORACLE[name])
     expected = normal([d[0] for d in result.description], result.fetchall())
     assert got[0] == expected[0]
     assert len(got[1]) == len(expected[1])
@@ -51,7 +53,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry_is_not_empty(spark):
