@@ -1,17 +1,21 @@
 """The queries of this folder, and those of them that SQL can express."""
 
 from seqlog.llm.bpe import op2_bpe
+from seqlog.llm.fingerprints import op10_fingerprints
 from seqlog.llm.mixing import OP7_SQL, op7_mixing
 from seqlog.llm.sharding import op6_sharding
 from seqlog.llm.token_counts import op9_token_counts
+from seqlog.llm.toxicity import op5_toxicity
 from seqlog.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_url_filter": op3_url_filter,
+    "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
     "op9_token_counts": op9_token_counts,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLE: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
