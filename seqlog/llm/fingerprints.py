@@ -1,7 +1,7 @@
 """Document fingerprints: SimHash with permuted block tables, in DataFrame operations only.
 
-A text's terms are its words with the word that follows; a term's weight is its length, up to a bound.
-Each term's hash votes with its weight on every bit, and a bit is set when it wins more than half of
+A text's terms are its words with the word that follows, each once however often it is repeated; a term's
+weight is its length, up to a bound. Each term's hash votes with its weight on every bit, and a bit is set when it wins more than half of
 all weight. Two bits are counted in one 64-bit sum, so a bit costs half an addition.
 
 Near fingerprints: bits are cut into radius + 1 blocks. Two fingerprints within the radius agree in one
@@ -20,8 +20,8 @@ from seqlog.llm.common import GAP, table, written
 
 #: 64-bit words of a fingerprint.
 WORDS = 2
-#: Largest weight of a term; its letters otherwise.
-MAX_WEIGHT = 16
+#: Largest weight of a term, else its number of letters; one less than a power of two.
+MAX_WEIGHT = 15
 #: Hamming radius of near fingerprints.
 RADIUS = 3
 LANES = (1 << 32) + 1
@@ -29,9 +29,16 @@ LOWEST = -(1 << 63)
 
 
 def _terms(text: Column) -> Column:
-    """The text's words, each with its follower (none for the last)."""
+    """The text's distinct terms: a hash each, with the weight in its lowest four bits."""
     words = F.filter(F.split(text, GAP), lambda w: w != "")
-    return F.arrays_zip(words.alias("word"), F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))).alias("next"))
+    following = F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1)))
+
+    def term(word: Column, follower: Column) -> Column:
+        follower = F.coalesce(follower, F.lit(""))
+        weight = F.least(F.length(word) + F.length(follower), F.lit(MAX_WEIGHT))
+        return F.xxhash64(word, follower).bitwiseAND(F.lit(~MAX_WEIGHT)).bitwiseOR(weight)
+
+    return F.array_distinct(F.zip_with(words, following, term))
 
 
 def _votes(hash_: Column, weight: Column) -> list[Column]:
@@ -52,10 +59,8 @@ def _bits(sums: list[str], total: str) -> Column:
 def fingerprint_rows(texts: DataFrame, keys: list[str], text_col: str, words: int = WORDS) -> DataFrame:
     """`keys` (which must name a row) and fp0, fp1, ...: SimHash of `text_col`."""
     term = texts.select(*keys, F.explode_outer(_terms(F.coalesce(text_col, F.lit("")))).alias("_t"))
-    weight = F.coalesce(
-        F.least(F.length("_t.word") + F.coalesce(F.length("_t.next"), F.lit(0)), F.lit(MAX_WEIGHT)), F.lit(0)
-    ).cast("long")
-    hashes = [F.xxhash64(F.lit(k), "_t.word", F.coalesce("_t.next", F.lit(""))).alias(f"_h{k}") for k in range(words)]
+    weight = F.coalesce(F.col("_t").bitwiseAND(F.lit(MAX_WEIGHT)), F.lit(0)).cast("long")
+    hashes = [F.xxhash64(F.lit(k), "_t").alias(f"_h{k}") for k in range(words)]
     hashed = term.select(*keys, weight.alias("_w"), *hashes)
     votes = [
         v.alias(f"_v{k}_{i}")
