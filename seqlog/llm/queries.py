@@ -5,6 +5,7 @@ from seqlog.llm.fingerprints import op10_fingerprints
 from seqlog.llm.mixing import OP7_SQL, op7_mixing
 from seqlog.llm.sharding import op6_sharding
 from seqlog.llm.token_counts import op9_token_counts
+from seqlog.llm.top_k import OP8_SQL, op8_top_k
 from seqlog.llm.toxicity import op5_toxicity
 from seqlog.llm.url_filter import OP3_SQL, op3_url_filter
 
@@ -14,10 +15,12 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
+    "op8_top_k": op8_top_k,
     "op9_token_counts": op9_token_counts,
     "op10_fingerprints": op10_fingerprints,
 }
 ORACLE: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op7_mixing": OP7_SQL,
+    "op8_top_k": OP8_SQL,
 }
