@@ -1,6 +1,8 @@
 """What the operators of this folder share: written steps, words, hashes, connected classes."""
 
+from collections import defaultdict
 from contextlib import contextmanager
+from itertools import count
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,18 @@ def shuffles_removed(spark: SparkSession):
         spark.conf.set(CLEANUP, before)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs inside hand at most so many rows at once to Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """`df` as a table in the shared folder, read back; its shuffle files are gone afterwards."""
     with shuffles_removed(df.sparkSession):
@@ -51,6 +65,20 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def coded(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts as positions in their dictionary, the dictionary's hashes, words per text.
+
+    `lower` turns A-Z into a-z, and nothing else.
+    """
+    known: defaultdict[bytes, int] = defaultdict(count().__next__)
+    place, codes, sizes = known.__getitem__, [], []
+    for text in texts:
+        words = text.encode("utf-8").lower().split() if lower else text.encode("utf-8").split()
+        codes.extend(map(place, words))
+        sizes.append(len(words))
+    return np.array(codes, np.int64), word_hashes(list(known)), np.array(sizes, np.int64)
+
+
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of every run of `size` consecutive word hashes."""
     n = len(words) - size + 1
