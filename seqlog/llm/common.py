@@ -105,11 +105,11 @@ def min_labels(edges: DataFrame) -> DataFrame:
         edges.select(most.alias("a"), least.alias("b")).where("a <> b").distinct(), "links"
     )
     while True:
-        # All neighbours: links from larger to smaller, both directions, joined on the node.
+        # All neighbours: each node's larger neighbours link to its smallest one.
         both = current.union(current.select("b", "a")).toDF("a", "b")
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        # Smaller neighbours only: each links to the smallest.
+        # Smaller neighbours only: they and the node link to the smallest.
         small_low = large.groupBy("a").agg(F.min("b").alias("m"))
         relinked = (
             large.join(small_low, "a")
@@ -119,10 +119,14 @@ def min_labels(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         following, following_path = written(relinked, "links")
-        left = following.exceptAll(current).limit(1).count() if following.count() == current.count() else 1
         drop_written(spark, path)
         current, path = following, following_path
-        if not left:
+        # Done when every node links once, to one that links nowhere.
+        ends = current.select(F.col("a").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+            current.select("b", F.lit(0), F.lit(1))
+        )
+        degrees = ends.groupBy("id").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+        if degrees.where("out > 1 OR (out > 0 AND into > 0)").isEmpty():
             break
     labelled = current.select(F.col("a").alias("id"), F.col("b").alias("label"))
     return labelled.union(labelled.select("label", "label").distinct())

@@ -3,15 +3,19 @@
 from seqlog.llm.bpe import op2_bpe
 from seqlog.llm.fingerprints import op10_fingerprints
 from seqlog.llm.mixing import OP7_SQL, op7_mixing
+from seqlog.llm.near_dedup import op1_near_dedup
 from seqlog.llm.sharding import op6_sharding
+from seqlog.llm.substrings import op4_substring_dedup
 from seqlog.llm.token_counts import op9_token_counts
 from seqlog.llm.top_k import OP8_SQL, op8_top_k
 from seqlog.llm.toxicity import op5_toxicity
 from seqlog.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_bpe": op2_bpe,
     "op3_url_filter": op3_url_filter,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
