@@ -11,7 +11,17 @@ from seqlog.llm.top_k import OP8_SQL, op8_top_k
 from seqlog.llm.toxicity import op5_toxicity
 from seqlog.llm.url_filter import OP3_SQL, op3_url_filter
 
+
+
+def pipeline(spark, sf_dir):
+    """The stages of corpus_pipeline.py one after the other."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_near_dedup": op1_near_dedup,
     "op2_bpe": op2_bpe,
     "op3_url_filter": op3_url_filter,

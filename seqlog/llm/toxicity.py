@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -246,42 +247,40 @@ def fit(
         entries = _lexicon(sample, rows[1], rows[0], max_entries)
         words = {e: w for e, w in entries if not e.endswith("*")}
         stems = {e[:-1]: w for e, w in entries if e.endswith("*")}
-        values = _valued(sample, Grammar(words, stems), "toxic").collect()
+        value = clause_values(Grammar(words, stems), docs.sparkSession)("text")
+        values = sample.select("toxic", value.alias("value")).collect()
     finally:
         sample.unpersist()
     x = np.array([r.value for r in values])
-    slope, intercept = _curve(x, np.array([r.doc_id for r in values], float))
+    slope, intercept = _curve(x, np.array([r.toxic for r in values], float))
     return Grammar(words, stems, max(0.0, slope), intercept)
 
 
-def _valued(rows: DataFrame, grammar: Grammar, id_col: str, text_col: str = "text") -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(grammar)
+def clause_values(grammar: Grammar, spark):
+    """A column function: the value of every text's clauses."""
+    shared = spark.sparkContext.broadcast(grammar)
 
-    def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def value(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lexicon = Lexicon(shared.value)
-        for batch in batches:
-            values = [text_value(t or "", lexicon) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values, pa.float64())], names=["doc_id", "value"]
-            )
-
-    return rows.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        value, "doc_id long, value double"
-    )
+        for texts in batches:
+            yield pd.Series([text_value(t or "", lexicon) for t in texts], dtype="float64")
+
+    return value
 
 
-def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, value of its clauses, score and predicted of every row."""
+def score(docs: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFrame:
+    """`docs` with value (of its clauses), score and predicted; columns of these names are replaced."""
+    value = clause_values(grammar, docs.sparkSession)(F.coalesce(F.col(text_col), F.lit("")))
     exponent = F.lit(grammar.intercept) + F.lit(grammar.slope) * F.col("value")
-    scored = _valued(docs, grammar, id_col, text_col).withColumn(
-        "score", 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), exponent))))
-    )
+    bounded = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), exponent))
+    scored = docs.withColumn("value", value).withColumn("score", 1.0 / (1.0 + F.exp(-bounded)))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op5_toxicity(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     grammar = fit(docs, table(spark, sf_dir, "labels"))
-    return score(docs, grammar).select(
+    return score(docs.select("doc_id", "text"), grammar).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "value"
     )
