@@ -7,8 +7,8 @@ gathered in blocks (one Arrow batch each):
 
 1. Spark counts the phrases over all blocks and confirms those that recur anywhere.
 2. Every block gets its confirmed phrases, compiles an automaton of their words and streams all its
-   documents through it: this shard of all automata is as large as the block at most. Windows that hold
-   a located phrase are hashed, and each block hands on its distinct ones with the smallest id.
+   documents through it: this shard of all automata is as large as the block at most. Windows whose
+   phrase is located are hashed, and each block hands on its distinct ones with the smallest id.
 3. Spark takes the smallest id of each window over all blocks; blocks learn which of their windows
    stand in a smaller id elsewhere, and drop the words that those cover, or that an earlier window of
    the block repeats.
@@ -45,9 +45,14 @@ CLEANED = "doc_id bigint, n_words bigint, n_removed bigint, kept string, carried
 
 
 def _smallest(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Places of the smallest of every `width` consecutive hashes, the leftmost of equals; distinct."""
-    views = np.lib.stride_tricks.sliding_window_view(hashes, width)
-    return np.unique(views.argmin(axis=1) + np.arange(len(views)))
+    """Place of the smallest of every `width` consecutive hashes, the leftmost of equals."""
+    n = len(hashes) - width + 1
+    least, place = hashes[:n].copy(), np.zeros(n, np.int64)
+    for k in range(1, width):
+        smaller = hashes[k : k + n] < least
+        least[smaller] = hashes[k : k + n][smaller]
+        place[smaller] = k
+    return place + np.arange(n)
 
 
 class Words:
@@ -56,6 +61,7 @@ class Words:
     def __init__(self, texts: list[str | None]):
         self.codes, hashes, sizes = coded([text or "" for text in texts])
         self.hashes = hashes[self.codes]
+        self.width = max(1, -(-len(hashes).bit_length() // 5))
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
 
@@ -65,16 +71,27 @@ class Words:
             if end - start >= WINDOW:
                 yield start, end
 
-    def phrase_places(self) -> np.ndarray:
-        found = [
-            start + _smallest(run_hashes(self.hashes[start:end], PHRASE), WINDOW - PHRASE + 1)
-            for start, end in self.spans()
-        ]
-        return np.concatenate(found) if found else np.empty(0, np.int64)
+    def phrase_places(self, first: np.ndarray) -> np.ndarray:
+        """Where the phrase begins that represents the window beginning at each of `first`."""
+        if not len(first):
+            return first
+        return _smallest(run_hashes(self.hashes, PHRASE), WINDOW - PHRASE + 1)[first]
 
     def phrase_hashes(self, places: np.ndarray) -> np.ndarray:
+        if not len(places):
+            return np.empty(0, np.int64)
         return run_hashes(self.hashes, PHRASE)[places].view(np.int64)
 
+    def letters(self) -> str:
+        """Every word as `self.width` letters of a small alphabet.
+
+        Nodes then have few children, which the automaton searches one by one. First letters are
+        from an alphabet of their own, so a phrase is only found where a word begins.
+        """
+        digits = [(self.codes >> (5 * k)) & 31 for k in range(self.width)]
+        digits = [digits[0] + 0x100, *[d + 0x200 for d in digits[1:]]]
+        return np.stack(digits, axis=1).astype("<u4").tobytes().decode("utf-32-le")
+
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, first word and document of every window."""
         if len(self.codes) < WINDOW:
@@ -93,7 +110,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, carried = (c.to_pylist() for c in batch.columns)
         order = sorted(range(len(ids)), key=lambda i: LAST_ID if ids[i] is None else ids[i])
         words = Words([texts[i] for i in order])
-        phrases, times = np.unique(words.phrase_hashes(words.phrase_places()), return_counts=True)
+        places = np.unique(words.phrase_places(words.windows()[1]))
+        phrases, times = np.unique(words.phrase_hashes(places), return_counts=True)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([random.getrandbits(63)], pa.int64()),
@@ -107,24 +125,25 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def automaton(words: Words, places: np.ndarray) -> ahocorasick.Automaton | None:
-    """Of the phrases that begin at `places`, with the block's words as letters."""
-    shard = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for place in places.tolist():
-        shard.add_word(tuple(words.codes[place : place + PHRASE].tolist()))
+def automaton(words: Words, letters: str, places: np.ndarray) -> ahocorasick.Automaton | None:
+    """Of the phrases that begin at `places` of the block."""
     if not len(places):
         return None
+    shard = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for place in (places * words.width).tolist():
+        shard.add_word(letters[place : place + PHRASE * words.width])
     shard.make_automaton()
     return shard
 
 
-def located(words: Words, shard: ahocorasick.Automaton) -> np.ndarray:
+def located(words: Words, letters: str, shard: ahocorasick.Automaton) -> np.ndarray:
     """Places where a phrase of the automaton begins, in all documents of the block."""
     found = []
     for start, end in words.spans():
-        ends = [last for last, _ in shard.iter(tuple(words.codes[start:end].tolist()))]
+        # A slice of its own: the automaton copies what it is given.
+        ends = [last for last, _ in shard.iter(letters[start * words.width : end * words.width])]
         if ends:
-            found.append(np.array(ends, np.int64) + (start + 1 - PHRASE))
+            found.append((np.array(ends, np.int64) + 1) // words.width - PHRASE + start)
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
@@ -133,19 +152,20 @@ def _ids(values: list[int | None]) -> np.ndarray:
 
 
 def _windows_of(block: pa.Table, confirmed: pa.Table) -> pa.Table:
-    """Distinct windows of a block that hold a confirmed phrase, each with its smallest id."""
+    """Distinct windows of a block whose phrase is confirmed, each with its smallest id."""
     hashes = ids = np.empty(0, np.int64)
     if block.num_rows and confirmed.num_rows:
         words = Words(block.column("texts")[0].as_py())
-        places = words.phrase_places()
+        window, first, document = words.windows()
+        represented = words.phrase_places(first)
+        places = np.unique(represented)
         known = np.isin(words.phrase_hashes(places), confirmed.column("phrase").to_numpy())
-        shard = automaton(words, places[known])
+        letters = words.letters()
+        shard = automaton(words, letters, places[known])
         if shard is not None:
-            begun = np.zeros(len(words.codes) + 1, np.int64)
-            begun[located(words, shard) + 1] = 1
-            before = np.cumsum(begun)
-            window, first, document = words.windows()
-            holds = before[first + WINDOW - PHRASE + 1] > before[first]
+            begun = np.zeros(len(words.codes) + 1, bool)
+            begun[located(words, letters, shard)] = True
+            holds = begun[represented]
             # Documents are in order of id, so the first of equal windows has the smallest.
             hashes, at = np.unique(window[holds], return_index=True)
             ids = _ids(block.column("ids")[0].as_py())[document[holds][at]]
@@ -159,8 +179,11 @@ def _windows_of(block: pa.Table, confirmed: pa.Table) -> pa.Table:
     )
 
 
-def _cleaned(block: pa.Table, elsewhere: pa.Table) -> pa.Table:
-    """The block's documents without the words that repeated windows cover."""
+def _cleaned(block: pa.Table, elsewhere: pa.Table, untouched: bool = False) -> pa.Table:
+    """The block's documents without the words that repeated windows cover.
+
+    `untouched` leaves a text as it was where nothing is removed.
+    """
     names = ["doc_id", "n_words", "n_removed", "kept", "carried"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     if not block.num_rows:
@@ -187,6 +210,9 @@ def _cleaned(block: pa.Table, elsewhere: pa.Table) -> pa.Table:
     for i, (start, end) in enumerate(zip(words.starts.tolist(), words.ends.tolist(), strict=True)):
         parts = (texts[i] or "").encode("utf-8").split()
         gone = covered[start:end]
+        if untouched and not gone.any():
+            rows.append((raw_ids[i], end - start, 0, texts[i], carried[i]))
+            continue
         if gone.any():
             parts = [part for part, drop in zip(parts, gone.tolist(), strict=True) if not drop]
         rows.append((raw_ids[i], end - start, int(gone.sum()), b" ".join(parts).decode("utf-8"), carried[i]))
@@ -194,9 +220,13 @@ def _cleaned(block: pa.Table, elsewhere: pa.Table) -> pa.Table:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: str | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: str | None = None,
+    untouched: bool = False,
 ) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (words left, joined by blanks) and the carried column."""
+    """doc_id, n_words, n_removed, kept (words left, joined by blanks) and the carried column.
+
+    With `untouched`, `kept` is the text as it was where nothing is removed.
+    """
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -230,7 +260,7 @@ def remove_repeats(
         blocks.select("block", "ids", "texts", "carried")
         .groupBy("block")
         .cogroup(elsewhere.groupBy("at"))
-        .applyInArrow(_cleaned, CLEANED)
+        .applyInArrow(lambda block, repeated: _cleaned(block, repeated, untouched), CLEANED)
     )
 
 
