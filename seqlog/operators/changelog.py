@@ -117,12 +117,13 @@ def _or_fail(condition: Column, message: str) -> Column:
 
 
 def compact_upserts(log: DataFrame, batch: str | None = None, order: str = "seq_num") -> DataFrame:
-    """Per batch keep the last record of each key; records without a key are all kept.
+    """Per stream and batch keep the last record of each key; records without a key are all kept.
 
-    One aggregation that combines before the shuffle, so a key holding most of the rows sends one
+    Keys and positions are a stream's own: a frame without a `stream` column is one stream. One
+    aggregation that combines before the shuffle, so a key holding most of the rows sends one
     record per task. Unkeyed records group by their own position and never meet a real key.
     """
-    group = [batch] if batch else []
+    group = [*(["stream"] if "stream" in log.columns else []), *([batch] if batch else [])]
     found = with_key_action(log).withColumn(
         "_own", F.when(F.col("_key").isNull(), F.col(order))
     )

@@ -127,6 +127,7 @@ def start_conversions(
                 discovery_prefix=prefix,
                 discovery_interval_ms=REDISCOVERY_MS,
                 max_records_per_stream=max_records_per_stream,
+                available_now=False,
             ),
         )
         for prefix in prefixes
@@ -146,7 +147,10 @@ def start_features(
 ) -> StreamingQuery:
     """Rollup stream to the upsert stream of best queries per item."""
     source = SourceOptions(
-        basin, streams=(ROLLUP_STREAM,), max_records_per_stream=max_records_per_stream
+        basin,
+        streams=(ROLLUP_STREAM,),
+        max_records_per_stream=max_records_per_stream,
+        available_now=False,
     )
     converted = json_decode(read_stream(spark, source).select("body"), CONVERSION_SCHEMA)
     sink = upsert_sink(basin, FEATURE_STREAM, ["item"], "features")

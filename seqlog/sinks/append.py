@@ -74,7 +74,9 @@ def append_to_streams(
     )
     # The size check must not make Spark encode every record a second time.
     rows = computed_once(rows, [], {name: F.col(name) for name in rows.columns})
-    problem = F.when(F.col("stream").isNull(), F.lit("record without a stream")).when(
+    problem = F.when(
+        F.coalesce(F.col("stream"), F.lit("")) == "", F.lit("record without a stream")
+    ).when(
         metered_bytes() > F.lit(max_record_bytes),
         F.concat(F.lit("record over the size limit in "), F.col("stream")),
     )
@@ -173,18 +175,30 @@ def append_sink(
 
     def write(df: DataFrame, batch_id: int) -> None:
         records = encode(df) if encode else df
-        append_to_streams(records, basin, route, writer=writer, batch_id=batch_id, **options)
+        name = query_writer(df, writer)
+        append_to_streams(records, basin, route, writer=name, batch_id=batch_id, **options)
 
     return write
 
 
+def query_writer(df: DataFrame, writer: str) -> str:
+    """The writer's name within the streaming query that runs this micro-batch.
+
+    Batch ids count within a query: a query with a new checkpoint starts at 0 again, and its batches
+    must not be taken for those of another one. Outside of a streaming query the name stays.
+    """
+    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{writer}.{query.replace('-', '')}" if query else writer
+
+
 def upsert_sink(
     basin: str, stream: str, keys: list[str], writer: str, **options
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for the upsert sink."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        write_upserts(df, basin, stream, keys, writer=writer, batch_id=batch_id, **options)
+        name = query_writer(df, writer)
+        write_upserts(df, basin, stream, keys, writer=name, batch_id=batch_id, **options)
 
     return write
 

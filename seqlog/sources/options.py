@@ -37,8 +37,9 @@ KNOWN = {
 class SourceOptions:
     """Where to read. A fixed set of streams wins over a prefix; one of the two is required.
 
-    `max_records_per_stream` bounds a micro-batch and is ignored under `available_now`, where Spark
-    runs a capped source for a single batch.
+    `max_records_per_stream` bounds a micro-batch. Under the available-now trigger Spark asks the source
+    for one batch only, so a cap would leave records unread. The source cannot see the trigger: a cap
+    needs `available_now` given, true (the cap is ignored) or false.
     """
 
     basin: str
@@ -49,7 +50,7 @@ class SourceOptions:
     max_records_per_stream: int | None = None
     records_per_partition: int = 250_000
     fail_on_data_loss: bool = True
-    available_now: bool = False
+    available_now: bool | None = None
 
     def __post_init__(self):
         if not self.basin:
@@ -64,6 +65,9 @@ class SourceOptions:
             if value is not None and value < 1:
                 raise ValueError(f"{name} must be at least 1, not {value}")
 
+        if self.max_records_per_stream is not None and self.available_now is None:
+            raise ValueError("maxRecordsPerStream needs availableNow, true or false: is it the trigger?")
+
     @property
     def capped(self) -> bool:
         return self.max_records_per_stream is not None and not self.available_now
@@ -92,7 +96,7 @@ class SourceOptions:
             max_records_per_stream=number("maxrecordsperstream"),
             records_per_partition=number("recordsperpartition") or 250_000,
             fail_on_data_loss=flag("failondataloss", True),
-            available_now=flag("availablenow", False),
+            available_now=flag("availablenow", False) if given.get("availablenow") else None,
         )
 
     def as_reader_options(self) -> dict[str, str]:
@@ -102,8 +106,9 @@ class SourceOptions:
             "startBehavior": self.start_behavior,
             "recordsPerPartition": str(self.records_per_partition),
             "failOnDataLoss": str(self.fail_on_data_loss).lower(),
-            "availableNow": str(self.available_now).lower(),
         }
+        if self.available_now is not None:
+            options["availableNow"] = str(self.available_now).lower()
         if self.discovery_prefix is not None:
             options["discoveryPrefix"] = self.discovery_prefix
         if self.discovery_interval_ms:

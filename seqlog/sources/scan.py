@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqlog.functions.records import LOG_SCHEMA, metered_bytes
-from seqlog.plans.staging import SMALL_SIDE_ROWS, join_counted
+from seqlog.plans.staging import SMALL_SIDE_ROWS, join_counted, join_side
 from seqlog.sources.basin import check_tail, list_streams, live_streams, positions, records
 from seqlog.sources.options import NEXT, SourceOptions
 
@@ -68,10 +68,21 @@ def start_positions(
     return begin.withColumn("_start", F.coalesce("next_seq", "_start"))
 
 
-def read_limited(rows: DataFrame, start: int, count: int) -> DataFrame:
-    """At most `count` records per stream from position `start`; positions are contiguous, so the
-    limit is a range that the file statistics can prune."""
-    return rows.where((F.col("seq_num") >= start) & (F.col("seq_num") < start + count))
+def read_limited(
+    rows: DataFrame, start: int, count: int, listing: DataFrame | None = None
+) -> DataFrame:
+    """The first `count` records of each stream from position `start` on.
+
+    Where the stream is trimmed beyond `start`, they begin at the first retained position: that of
+    `listing`, else the first one present. Positions are contiguous from there, so the limit is a range.
+    """
+    kept = rows.where(F.col("seq_num") >= start)
+    if listing is None:
+        begins = kept.groupBy("stream").agg(F.min("seq_num").alias("_from"))
+    else:
+        begins = listing.select("stream", F.greatest("first_seq", F.lit(start)).alias("_from"))
+    inside = (F.col("seq_num") >= F.col("_from")) & (F.col("seq_num") < F.col("_from") + count)
+    return join_side(kept, begins, ["stream"], "inner", F.col("seq_num")).where(inside).select(*rows.columns)
 
 
 def detect_trim_gap(resume: DataFrame, listing: DataFrame) -> DataFrame:

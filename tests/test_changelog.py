@@ -136,6 +136,13 @@ def test_compaction(spark):
     assert kept.columns == log.columns
 
 
+def test_compaction_keeps_streams_apart(spark):
+    rows = [("a", "u", 1), ("a", "u", 2), (None, "u", 5)]
+    one, two = records(spark, rows), records(spark, rows).withColumn("stream", F.lit("t"))
+    kept = compact_upserts(one.union(two)).select("stream", "seq_num").collect()
+    assert sorted(map(tuple, kept)) == sorted([(s, n) for s in (one.first()["stream"], "t") for n in (1, 2)])
+
+
 def test_an_unkeyed_record_never_meets_a_key_that_looks_like_its_position(spark):
     log = log_frame(spark, ["x", "y"], headers=[[(K, "1"), (A, "u")], []])
     assert compact_upserts(log).count() == 2

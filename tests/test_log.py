@@ -193,6 +193,10 @@ def test_limits_and_progress(spark, basin):
     append_lines(spark, basin, [("a", "xx") for _ in range(10)] + [("b", "y")])
     rows = records(spark, basin)
     assert [s for _, s, _ in texts(read_limited(rows, 4, 3))] == [4, 5, 6]
+    trimmed = rows.where("stream = 'a' AND seq_num >= 5")
+    assert [s for _, s, _ in texts(read_limited(trimmed, 3, 5))] == [5, 6, 7, 8, 9]
+    listing = spark.createDataFrame([("a", 6), ("b", 0)], "stream string, first_seq long")
+    assert [s for _, s, _ in texts(read_limited(rows, 3, 2, listing))] == [6, 7]
     progress = stream_progress(rows.where("seq_num >= 1"))
     assert pairs(progress, "stream", "next_seq", "consumed_records", "consumed_bytes") == [("a", 10, 9, 18)]
 
@@ -203,6 +207,11 @@ def test_stream_scan_prunes_partitions(spark, basin):
     assert "PartitionFilters: [" in plan and "stream" in plan.split("PartitionFilters: [")[1][:200]
 
 
+def test_an_empty_stream_name_is_refused(spark, basin):
+    with pytest.raises(Exception, match="record without a stream"):
+        append_lines(spark, basin, [("", "x"), ("a", "y")])
+
+
 def test_options():
     for bad in (
         dict(basin="", streams=("a",)),
@@ -210,10 +219,11 @@ def test_options():
         dict(basin="b", streams=("",)),
         dict(basin="b", streams=("a",), start_behavior="LAST"),
         dict(basin="b", streams=("a",), max_records_per_stream=0),
+        dict(basin="b", streams=("a",), max_records_per_stream=5),
     ):
         with pytest.raises(ValueError):
             SourceOptions(**bad)
-    given = {"basin": "b", "streams": "a, c,a", "startBehavior": "next", "maxRecordsPerStream": "7"}
+    given = {"basin": "b", "streams": "a, c,a", "startBehavior": "next", "maxRecordsPerStream": "7", "availableNow": "false"}
     parsed = SourceOptions.parse(given)
     assert (parsed.streams, parsed.start_behavior, parsed.max_records_per_stream) == (("a", "c"), "NEXT", 7)
     assert SourceOptions.parse(parsed.as_reader_options()) == parsed

@@ -8,16 +8,16 @@ from seqlog.operators.pattern import Sequence, match_sequence, reconcile
 from seqlog.plans.jobs import conversion_sequence, conversions, features
 from tests.helpers import log_frame
 
-# The event lines of the documentation sample.
+# One conversion of user 7, another user's events between, and a later line that moves the watermark.
 SAMPLE = """\
-user=16;search=linen;epoch_ms=1739603607844
-user=11;item=4;action=cart;epoch_ms=1739603608844
-user=16;item=5;action=view;epoch_ms=1739603609844
-user=5;search=gifts;epoch_ms=1739603610844
-user=16;item=5;action=cart;epoch_ms=1739603611844
-user=10;item=16;action=cart;epoch_ms=1739603612844
-user=16;item=5;action=buy;epoch_ms=1739603613844
-user=16;search=linen;epoch_ms=1739605707000
+user=7;search=kettle;epoch_ms=1700000000000
+user=2;item=9;action=view;epoch_ms=1700000000500
+user=7;item=12;action=view;epoch_ms=1700000001200
+user=3;search=lamp;epoch_ms=1700000002000
+user=7;item=12;action=cart;epoch_ms=1700000003400
+user=2;item=9;action=cart;epoch_ms=1700000004000
+user=7;item=12;action=buy;epoch_ms=1700000006000
+user=7;search=kettle;epoch_ms=1700002106000
 """.splitlines()
 
 ACTIONS = {"s": "search", "v": "view", "c": "cart", "b": "buy"}
@@ -39,12 +39,12 @@ def found(spark, steps, **options):
     return sorted(tuple(r) for r in rows)
 
 
-def test_documentation_sample(spark):
+def test_sample_lines(spark):
     parsed = parse_kv_events(log_frame(spark, SAMPLE))
     assert parsed.count() == 8
     matched = conversions(parsed)
-    assert [tuple(r) for r in matched.collect()] == [(16, "linen", 5)]
-    assert [tuple(r) for r in features(matched).collect()] == [(5, ["linen"])]
+    assert [tuple(r) for r in matched.collect()] == [(7, "kettle", 12)]
+    assert [tuple(r) for r in features(matched).collect()] == [(12, ["kettle"])]
     assert conversions(parsed, conversion_sequence(6_000)).count() == 0
     assert conversions(parsed, conversion_sequence(6_001)).count() == 1
 
