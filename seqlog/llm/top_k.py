@@ -218,25 +218,24 @@ def top_k(
                     if farthest < low or nearest > high or square < -1:
                         continue
                     first, last = bands(max(nearest, low), min(farthest, high), pivot)
-                    out += [(query, vector, least, pivot, band) for band in range(first, last + 1)]
+                    out += [(query, vector, least, pivot, band, first) for band in range(first, last + 1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row[i] for row in out], kind)
-                    for i, kind in enumerate((pa.int64(), pa.binary(), pa.float64(), pa.int32(), pa.int32()))
+                    for i, kind in enumerate((pa.int64(), pa.binary(), pa.float64(), *[pa.int32()] * 3))
                 ],
-                names=["query_id", "vector", "least", "pivot", "band"],
+                names=["query_id", "vector", "least", "pivot", "band", "first"],
             )
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                (block, pivot, band)
-                for block, pivot, low, high in zip(*[c.to_pylist() for c in batch.columns], strict=True)
-                for band in range(bands(low, high, pivot)[0], bands(low, high, pivot)[1] + 1)
-            ]
+            out: list[tuple] = []
+            for block, pivot, low, high in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                first, last = bands(low, high, pivot)
+                out += [(block, pivot, band, first) for band in range(first, last + 1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row[i] for row in out], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))],
-                names=["block", "pivot", "band"],
+                [pa.array([row[i] for row in out], kind) for i, kind in enumerate((pa.int64(), *[pa.int32()] * 3))],
+                names=["block", "pivot", "band", "first_held"],
             )
 
     def multiplied(pairs: pa.Table, block: pa.Table) -> pa.Table:
@@ -258,11 +257,13 @@ def top_k(
 
     queries, _ = written(blocks.select("ids", "vectors").mapInArrow(asked, QUERIES), "queries")
     shares = max(1, -(-queries.count() // SHARE))
-    routes = queries.mapInArrow(routed, "query_id long, vector binary, least double, pivot int, band int")
-    places = blocks.select("block", "pivot", "low", "high").mapInArrow(banded, "block long, pivot int, band int")
+    routes = queries.mapInArrow(routed, "query_id long, vector binary, least double, pivot int, band int, first int")
+    places = blocks.select("block", "pivot", "low", "high").mapInArrow(banded, "block long, pivot int, band int, first_held int")
+    # Both sides grow with the table, so neither is broadcast. A query and a block that share several
+    # bands meet in the first of them.
     pairs = (
-        routes.join(places, ["pivot", "band"])
-        .dropDuplicates(["query_id", "block"])
+        routes.join(places.hint("merge"), ["pivot", "band"])
+        .where(F.col("band") == F.greatest("first", "first_held"))
         .select("query_id", "vector", "least", F.col("block").alias("at"), F.pmod(F.xxhash64("query_id"), F.lit(shares)).cast("int").alias("part"))
     )
     shared = blocks.select("block", "ids", "vectors", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
