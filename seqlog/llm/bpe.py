@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlog.llm.common import arrow_rows, mixed, shuffles_removed, table
+from seqlog.llm.common import arrow_rows, frugal, frugal_pair, mixed, shuffles_removed, table
 from seqlog.llm.tokenizer_file import (
     loaded,
     model_ids,
@@ -41,7 +41,7 @@ BLOCK_DOCS = 2_000
 #: Documents whose decoded texts are held at a time.
 DECODED_DOCS = 500
 #: Words a task remembers at a time; beyond it the memory starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 BLOCK = "block bigint, doc_ids array<bigint>, n_words array<bigint>, codes binary, dictionary array<binary>"
 ENCODED = "doc_id bigint, ids array<int>"
 
@@ -215,7 +215,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     # Bucketed by block, so that only ids travel to the blocks and the blocks stay where they are.
     name, path = f"bpe_blocks_{random.getrandbits(63):x}", scratch_path(spark, "bpe-blocks")
     with arrow_rows(spark, BLOCK_DOCS), shuffles_removed(spark):
-        split.mapInArrow(blocks_of, BLOCK).write.bucketBy(shares, "block").option(
+        split.mapInArrow(frugal(blocks_of), BLOCK).write.bucketBy(shares, "block").option(
             "path", path
         ).saveAsTable(name)
     blocks = spark.table(name)
@@ -223,13 +223,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         blocks.select("block", F.posexplode("dictionary").alias("share", "words"))
         .where("words is not null")
         .repartition("share")
-        .mapInArrow(merged, "at bigint, share int, ids binary")
+        .mapInArrow(frugal(merged), "at bigint, share int, ids binary")
     )
     return (
         blocks.select("block", "doc_ids", "n_words", "codes")
         .groupBy("block")
         .cogroup(shares_of_words.groupBy("at"))
-        .applyInArrow(_restored, ENCODED)
+        .applyInArrow(frugal_pair(_restored), ENCODED)
     )
 
 
@@ -259,7 +259,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
     return encoded.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")
-    ).mapInArrow(joined, "doc_id bigint, ids array<int>, decoded string")
+    ).mapInArrow(frugal(joined), "doc_id bigint, ids array<int>, decoded string")
 
 
 def op2_bpe(spark, sf_dir) -> DataFrame:

@@ -1,10 +1,13 @@
 """What the operators of this folder share: written steps, words, hashes, connected classes."""
 
+import ctypes
 from collections import defaultdict
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from itertools import count
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -39,6 +42,38 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+def give_back() -> None:
+    """Hand freed memory to the system: Python workers outlive their tasks, and an executor pays for them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
+
+
+def frugal(task: Callable) -> Callable:
+    """A function of batches that gives memory back when its task ends."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def frugal_pair(join: Callable) -> Callable:
+    """A function of two tables that gives memory back after each pair."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return join(left, right)
+        finally:
+            give_back()
+
+    return run
+
+
 def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """`df` as a table in the shared folder, read back; its shuffle files are gone afterwards."""
     with shuffles_removed(df.sparkSession):

@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqlog.llm.common import (
+    arrow_rows,
     coded,
     drop_written,
+    frugal,
     min_labels,
     mixed,
     run_hashes,
@@ -46,6 +48,8 @@ POSITIONS, BITS, CHUNK, ERRORS = 32, 16, 4, 1
 RADIUS = (POSITIONS // CHUNK) * (ERRORS + 1) - 1
 #: Members of a key, and texts of a cluster, that are compared with each other in one task.
 KEY_BLOCK, TEXT_BLOCK = 4_096, 512
+#: Documents whose words are held at a time while they are signed.
+SIGNED_DOCS = 2_000
 #: Rows that small groups are packed together for.
 PACK = 20_000
 SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, signature binary, keys array<bigint>"
@@ -222,7 +226,8 @@ def near_duplicates(
     """doc_id, n_shingles, component_id and kept of every row."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed, _ = written(rows.mapInArrow(_signer(size), SIGNED), "signatures")
+    with arrow_rows(spark, SIGNED_DOCS):
+        signed, _ = written(rows.mapInArrow(frugal(_signer(size)), SIGNED), "signatures")
     # Equal sets: one representative, the smallest id, to which the others are linked.
     full = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     copies = full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlog.llm.common import arrow_rows, coded, drop_written, run_hashes, table, written
+from seqlog.llm.common import arrow_rows, coded, drop_written, frugal, frugal_pair, run_hashes, table, written
 
 WINDOW, PHRASE = 20, 8
 #: Documents of a block: a few MB of text.
@@ -234,7 +234,7 @@ def remove_repeats(
         (F.col(carry) if carry else F.lit(None)).cast("string").alias("carried"),
     )
     with arrow_rows(spark, BLOCK_DOCS):
-        blocks, _ = written(rows.mapInArrow(_blocks, BLOCK), "text-blocks")
+        blocks, _ = written(rows.mapInArrow(frugal(_blocks), BLOCK), "text-blocks")
     entries = blocks.select(
         F.col("block").alias("at"), F.explode(F.arrays_zip("phrases", "times")).alias("e")
     ).select("at", F.col("e.phrases").alias("phrase"), F.col("e.times").alias("times"))
@@ -244,7 +244,7 @@ def remove_repeats(
     found = (
         texts.groupBy("block")
         .cogroup(confirmed.groupBy("at"))
-        .applyInArrow(_windows_of, "block bigint, window bigint, doc_id bigint")
+        .applyInArrow(frugal_pair(_windows_of), "block bigint, window bigint, doc_id bigint")
     )
     windows, windows_path = written(found, "windows")
     firsts = (
@@ -260,7 +260,7 @@ def remove_repeats(
         blocks.select("block", "ids", "texts", "carried")
         .groupBy("block")
         .cogroup(elsewhere.groupBy("at"))
-        .applyInArrow(lambda block, repeated: _cleaned(block, repeated, untouched), CLEANED)
+        .applyInArrow(frugal_pair(lambda block, repeated: _cleaned(block, repeated, untouched)), CLEANED)
     )
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlog.llm.common import run_hashes, table, word_hashes
+from seqlog.llm.common import frugal, give_back, run_hashes, table, word_hashes
 
 #: Words of the grammar besides the learned insults, in four languages (fixed values of this grammar).
 TARGETS = frozenset("you your yours u du dich dir dein deine ihr tu te toi ton ta vous votre usted tú ti tus eres".split())
@@ -45,6 +45,8 @@ THREAT_WEIGHT = 0.5
 SURE = 32.0
 #: Letters of a word's beginning that may become an entry.
 STEMS = range(4, 9)
+#: Texts whose entries are held at a time.
+ENTRY_DOCS = 250
 CLAUSE_END = re.compile(r"[.!?;:,\n]+")
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 
@@ -67,7 +69,7 @@ class Grammar:
 class Lexicon(dict):
     """Word transducer: symbol and weight of a lower-case word, worked out once per word."""
 
-    def __init__(self, grammar: Grammar, size: int = 500_000):
+    def __init__(self, grammar: Grammar, size: int = 100_000):
         super().__init__()
         self.grammar, self.size = grammar, size
 
@@ -147,7 +149,8 @@ def _entries_of(text: str) -> tuple[int, list[str]]:
 
 
 def _with_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    # Entries take far more room than the texts: a few texts at a time.
+    for batch in (b.slice(at, ENTRY_DOCS) for b in batches for at in range(0, b.num_rows, ENTRY_DOCS)):
         found = [_entries_of(text) for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -236,7 +239,7 @@ def fit(
     # make all its words look toxic or clean.
     sample = (
         sample.select("toxic", "text")
-        .mapInArrow(_with_entries, "toxic int, text string, run long, entries array<string>")
+        .mapInArrow(frugal(_with_entries), "toxic int, text string, run long, entries array<string>")
         .dropDuplicates(["toxic", "run"])
         .cache()
     )
@@ -263,8 +266,12 @@ def clause_values(grammar: Grammar, spark):
     @F.pandas_udf("double")
     def value(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lexicon = Lexicon(shared.value)
-        for texts in batches:
-            yield pd.Series([text_value(t or "", lexicon) for t in texts], dtype="float64")
+        try:
+            for texts in batches:
+                yield pd.Series([text_value(t or "", lexicon) for t in texts], dtype="float64")
+        finally:
+            lexicon.clear()
+            give_back()
 
     return value
 
