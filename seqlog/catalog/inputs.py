@@ -12,7 +12,8 @@ from seqlog.operators.changelog import upsert_encode
 from seqlog.plans.session import configure
 from seqlog.plans.staging import scratch_path
 from seqlog.sinks.append import append_to_stream, append_to_streams
-from seqlog.sources.basin import create_basin, declare_streams, records
+from seqlog.sources.basin import create_basin, declare_streams
+from seqlog.sources.scan import finished_records
 
 _basins: dict[tuple[str, str, str], str] = {}
 
@@ -105,15 +106,20 @@ def _built(spark: SparkSession, sf_dir: str, label: str, fill: Callable[[str], N
     return _basins[key]
 
 
+def kv_appends(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every event line as a record: the first three quarters, and the rest."""
+    lines = kv_lines(spark, sf_dir)
+    last = lines.agg(F.max("event_id")).first()[0]
+    appended = lines.select("event_id", "stream", "body", no_headers().alias("headers"))
+    cut = F.col("event_id") <= F.lit(last * 3 // 4)
+    return appended.where(cut), appended.where(~cut)
+
+
 def kv_basin(spark: SparkSession, sf_dir: str) -> str:
     """A log holding every event line, written in two appends."""
 
     def fill(basin: str) -> None:
-        lines = kv_lines(spark, sf_dir)
-        last = lines.agg(F.max("event_id")).first()[0]
-        appended = lines.select("event_id", "stream", "body", no_headers().alias("headers"))
-        cut = F.col("event_id") <= F.lit(last * 3 // 4)
-        for batch, part in enumerate((appended.where(cut), appended.where(~cut))):
+        for batch, part in enumerate(kv_appends(spark, sf_dir)):
             append_to_streams(
                 part, basin, "stream", order_by=["event_id"], writer="host", batch_id=batch
             )
@@ -123,7 +129,7 @@ def kv_basin(spark: SparkSession, sf_dir: str) -> str:
 
 
 def kvlog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(spark, kv_basin(spark, sf_dir))
+    return finished_records(spark, kv_basin(spark, sf_dir))
 
 
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +170,7 @@ def change_basin(spark: SparkSession, sf_dir: str) -> str:
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(spark, change_basin(spark, sf_dir)).select(*LOG_SCHEMA.names)
+    return finished_records(spark, change_basin(spark, sf_dir)).select(*LOG_SCHEMA.names)
 
 
 ORDER_STREAM = "orders/all"

@@ -22,6 +22,7 @@ from seqlog.functions.codec import (
 from seqlog.functions.records import action_to_kind, header, metered_bytes
 from seqlog.operators.batching import batches_by_bytes, batches_by_count, oversize_records
 from seqlog.operators.changelog import (
+    assert_insert_only,
     compact_upserts,
     is_insert,
     materialize_latest,
@@ -53,8 +54,14 @@ from seqlog.plans.tables import UPSERT, LogTable, Tables
 from seqlog.sinks.append import append_to_stream, append_to_streams, write_upserts
 from seqlog.sources.basin import check_tail, list_streams, live_streams, new_streams
 from seqlog.sources.datasource import register
-from seqlog.sources.options import SourceOptions
-from seqlog.sources.scan import detect_trim_gap, read_limited, scan, stream_progress
+from seqlog.sources.options import NEXT, SourceOptions
+from seqlog.sources.scan import (
+    detect_trim_gap,
+    read_limited,
+    scan,
+    start_positions,
+    stream_progress,
+)
 
 DAY_MS = 24 * 60 * 60 * 1000
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSS"
@@ -116,10 +123,14 @@ def scan_start_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_start_next(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a reader started between the two appends gets: everything from the tail of then."""
-    basin = inputs.kv_basin(spark, sf_dir)
-    then = check_tail(spark, basin, F.col("batch_id") == 0)
-    return _lines(scan(spark, SourceOptions(basin, discovery_prefix="host/000"), resume=then))
+    """A reader with NEXT starts between two appends: its positions are pinned then, and it gets the second."""
+    basin = inputs.scratch_basin(spark, "next")
+    first, second = inputs.kv_appends(spark, sf_dir)
+    append_to_streams(first, basin, "stream", order_by=["event_id"])
+    source = SourceOptions(basin, discovery_prefix="host/000", start_behavior=NEXT)
+    pinned, _ = stage(start_positions(spark, source).select("stream", "_start"), "pinned")
+    append_to_streams(second, basin, "stream", order_by=["event_id"])
+    return _lines(scan(spark, source, resume=pinned.withColumnRenamed("_start", "next_seq")))
 
 
 def _halfway(spark: SparkSession, basin: str) -> DataFrame:
@@ -303,8 +314,13 @@ def _kinds_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inserts go through the guard, which would fail on any other kind."""
     rows = _kinds_of_orders(spark, sf_dir)
-    return _as_kind(rows.withColumn("accepted", is_insert()))
+    passed = assert_insert_only(rows.where(is_insert())).withColumn("_kind", F.lit("+I"))
+    others = rows.where(~is_insert())
+    return _as_kind(
+        passed.withColumn("accepted", F.lit(True)).unionByName(others.withColumn("accepted", F.lit(False)))
+    )
 
 
 def normalize(spark: SparkSession, sf_dir: str) -> DataFrame:

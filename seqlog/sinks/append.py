@@ -19,8 +19,10 @@ from seqlog.sources.basin import (
     append_name,
     append_path,
     check_tail,
+    claimed,
     is_committed,
     newest_snapshot,
+    newest_snapshots,
     positions_path,
     read_tails,
     records_path,
@@ -29,12 +31,17 @@ from seqlog.sources.basin import (
 )
 
 MAX_FILE_RECORDS = 1_000_000
-KEPT_SNAPSHOTS = 1000
+#: Times an append is numbered again because others took its positions.
+ATTEMPTS = 10
 
 
 def next_batch(spark: SparkSession, basin: str, writer: str) -> int:
+    """A batch id above the writer's finished ones that no other append has claimed."""
     newest = newest_snapshot(spark, basin, writer)
-    return 0 if newest is None else newest + 1
+    batch_id = 0 if newest is None else newest + 1
+    while not claimed(spark, basin, append_name(writer, batch_id)):
+        batch_id += 1
+    return batch_id
 
 
 def append_to_streams(
@@ -49,15 +56,18 @@ def append_to_streams(
     """Append records (`headers`, `body`) to the streams named by `route`; returns the append's name.
 
     Positions continue each stream's tail, gap-free and ascending by `order_by` (arrival order
-    without one). Many tasks write one stream. An append is known by writer and batch id: repeating a finished one
-    adds nothing, repeating a broken one replaces what it left. One writer per stream is assumed. A
-    record above `max_record_bytes` fails the append.
+    without one). Many tasks write one stream. An append is known by writer and batch id: repeating a
+    finished one adds nothing, repeating a broken one replaces what it left. Without a batch id it claims
+    the next free one. Where another append takes the same positions first, this one is numbered again
+    behind it; should both publish in the same moment, one of them fails. A record above
+    `max_record_bytes` fails the append.
     """
     spark = df.sparkSession
     checked("max_record_bytes", max_record_bytes, 1, MAX_RECORD_BYTES)
     if not re.fullmatch(r"[A-Za-z0-9_.]+", writer):
         raise ValueError(f"writer must be letters, digits, _ and . only, not {writer!r}")
-    if batch_id is None:
+    own_name = batch_id is None
+    if own_name:
         batch_id = next_batch(spark, basin, writer)
     append_id = append_name(writer, batch_id)
     if is_committed(spark, basin, append_id):
@@ -84,47 +94,83 @@ def append_to_streams(
         F.raise_error(problem).cast("boolean")
     )
     placed = place(rows.where(sound), ["stream"], order_names)
-
-    tails = check_tail(spark, basin).withColumnRenamed("next_seq", "_tail")
-    based = placed.runs.join(tails, "stream", "left").withColumn(
-        "_base", F.coalesce("_tail", F.lit(0))
-    )
-    records = numbered(replace(placed, runs=based), "seq_num", base="_base")
-    now = F.lit(datetime.now(timezone.utc))
-    target = append_path(records_path(basin), append_id)
-    (
-        records.select("stream", "seq_num", "headers", "body", now.alias("append_ts"))
-        .sortWithinPartitions("stream", "seq_num")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", MAX_FILE_RECORDS)
-        .partitionBy("stream")
-        .parquet(target)
-    )
-    written = spark.read.schema("seq_num bigint, stream string").parquet(target)
-    files = written.groupBy("stream", F.col("_metadata.file_name").alias("file")).agg(
-        F.lit(writer).alias("writer"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-        F.min("seq_num").alias("first_seq"),
-        (F.max("seq_num") + 1).alias("next_seq"),
-        F.count("*").alias("records"),
-        now.alias("append_ts"),
-    )
-    ends = based.groupBy("stream").agg(
-        now.alias("created_at"), (F.min("_base") + F.sum("_n")).alias("next_seq")
-    )
-    _carry_tails_forward(ends, basin, writer, batch_id)
+    for _ in range(ATTEMPTS):
+        seen = newest_snapshots(spark, basin)
+        tails = check_tail(spark, basin).withColumnRenamed("next_seq", "_tail")
+        based = placed.runs.join(tails, "stream", "left").withColumn(
+            "_base", F.coalesce("_tail", F.lit(0))
+        )
+        records = numbered(replace(placed, runs=based), "seq_num", base="_base")
+        now = F.lit(datetime.now(timezone.utc))
+        target = append_path(records_path(basin), append_id)
+        (
+            records.select("stream", "seq_num", "headers", "body", now.alias("append_ts"))
+            .sortWithinPartitions("stream", "seq_num")
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", MAX_FILE_RECORDS)
+            .partitionBy("stream")
+            .parquet(target)
+        )
+        written = spark.read.schema("seq_num bigint, stream string").parquet(target)
+        files = written.groupBy("stream", F.col("_metadata.file_name").alias("file")).agg(
+            F.lit(writer).alias("writer"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.min("seq_num").alias("first_seq"),
+            (F.max("seq_num") + 1).alias("next_seq"),
+            F.count("*").alias("records"),
+            now.alias("append_ts"),
+        )
+        ends = based.groupBy("stream").agg(
+            now.alias("created_at"),
+            F.min("_base").alias("_base"),
+            (F.min("_base") + F.sum("_n")).alias("next_seq"),
+        )
+        _carry_tails_forward(ends.drop("_base"), basin, writer, batch_id)
+        if not _overtaken(ends, basin, seen):
+            break
+        # Another append took these positions meanwhile: number again behind it, and under a new name,
+        # as a writer's later batch must know all earlier ones.
+        remove_path(spark, target)
+        remove_path(spark, tails_path(basin, writer, batch_id))
+        if own_name:
+            batch_id = next_batch(spark, basin, writer)
+            append_id = append_name(writer, batch_id)
+    else:
+        raise RuntimeError(f"append {append_id}: other appends took its positions {ATTEMPTS} times")
     (
         files.select([f for f in POSITIONS_SCHEMA.names if f != "append_id"])
         .write.mode("overwrite")
         .parquet(append_path(positions_path(basin), append_id))
     )
+    if _overtaken(ends, basin, seen, tails_path(basin, writer, batch_id)):
+        raise RuntimeError(f"append {append_id}: another append took the same positions at the same time")
     placed.discard()
     return append_id
 
 
+def _overtaken(ends: DataFrame, basin: str, seen: list[str], own: str | None = None) -> bool:
+    """Whether an append finished since `seen` holds positions that this one has given out, too.
+
+    Without a new snapshot no job runs.
+    """
+    spark = ends.sparkSession
+    fresh = [path for path in newest_snapshots(spark, basin) if path not in seen and path != own]
+    if not fresh:
+        return False
+    taken = read_tails(spark, fresh).select("stream", F.col("next_seq").alias("_taken"))
+    return not ends.join(taken, "stream").where("_taken > _base").isEmpty()
+
+
+def expire_tails(spark: SparkSession, basin: str, writer: str, keep: int) -> None:
+    """Delete all but a writer's newest `keep` snapshots of tails. Frames planned on older ones fail."""
+    if keep < 1:
+        raise ValueError(f"keep must be at least 1, not {keep}")
+    for old in snapshots(spark, basin, writer)[keep:]:
+        remove_path(spark, tails_path(basin, writer, old))
+
+
 def _carry_tails_forward(ends: DataFrame, basin: str, writer: str, batch_id: int) -> None:
-    """Write the writer's tails after this append. Old snapshots go, but only long after the last
-    query that may have been planned on them."""
+    """Write the writer's tails after this append."""
     spark = ends.sparkSession
     before = newest_snapshot(spark, basin, writer, before=batch_id)
     known = [] if before is None else [tails_path(basin, writer, before)]
@@ -132,8 +178,6 @@ def _carry_tails_forward(ends: DataFrame, basin: str, writer: str, batch_id: int
         F.min("created_at").alias("created_at"), F.max("next_seq").alias("next_seq")
     )
     tails.write.mode("overwrite").parquet(tails_path(basin, writer, batch_id))
-    for old in snapshots(spark, basin, writer)[KEPT_SNAPSHOTS:]:
-        remove_path(spark, tails_path(basin, writer, old))
 
 
 def append_to_stream(df: DataFrame, basin: str, stream: str, **options) -> str:

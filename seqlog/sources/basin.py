@@ -65,13 +65,37 @@ def create_basin(spark: SparkSession, basin: str) -> str:
 
 
 def records(spark: SparkSession, basin: str) -> DataFrame:
+    """Everything under the basin, what unfinished appends left included. Readers use record_files."""
     return spark.read.schema(RECORDS_SCHEMA).parquet(records_path(basin))
 
 
+def record_files(spark: SparkSession, basin: str, files: list) -> DataFrame:
+    """Records of the files that rows of `positions` name; no other folder is listed or opened."""
+    root = records_path(basin)
+    paths = [f"{append_path(root, f.append_id)}/stream={escape(f.stream)}/{f.file}" for f in files]
+    if not paths:
+        return spark.createDataFrame([], RECORDS_SCHEMA)
+    return spark.read.schema(RECORDS_SCHEMA).option("basePath", root).parquet(*paths)
+
+
 def append_path(table: str, append_id: str) -> str:
     return f"{table}/append_id={append_id}"
 
 
+# Fixed set: characters a partition directory name holds as %XX.
+ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
+
+
+def escape(value: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+
+
+def claimed(spark: SparkSession, basin: str, append_id: str) -> bool:
+    """Take an append's name; False if another append has taken it already."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{basin.rstrip('/')}/claims/{append_id}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(path)
+
+
 def is_committed(spark: SparkSession, basin: str, append_id: str) -> bool:
     return path_exists(spark, f"{append_path(positions_path(basin), append_id)}/_SUCCESS")
 
@@ -119,16 +143,21 @@ def read_tails(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def current_tails(spark: SparkSession, basin: str) -> DataFrame:
-    """Tails of every appended stream. Each append carries its writer's tails forward, so only the
-    newest snapshot of each writer is read, however many appends there are."""
+def newest_snapshots(spark: SparkSession, basin: str) -> list[str]:
+    """Folder of every writer's newest finished snapshot."""
     paths = []
-    for name in child_names(spark, tails_path(basin)):
+    for name in sorted(child_names(spark, tails_path(basin))):
         writer = name.removeprefix("writer=")
         newest = newest_snapshot(spark, basin, writer)
         if newest is not None:
             paths.append(tails_path(basin, writer, newest))
-    return read_tails(spark, paths)
+    return paths
+
+
+def current_tails(spark: SparkSession, basin: str) -> DataFrame:
+    """Tails of every appended stream. Each append carries its writer's tails forward, so only the
+    newest snapshot of each writer is read, however many appends there are."""
+    return read_tails(spark, newest_snapshots(spark, basin))
 
 
 def list_streams(spark: SparkSession, basin: str, prefix: str = "") -> DataFrame:

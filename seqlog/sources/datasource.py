@@ -18,7 +18,7 @@ from pyspark.sql.datasource import (
 )
 
 from seqlog.functions.records import LOG_SCHEMA
-from seqlog.sources.basin import positions_path, records_path, streams_path
+from seqlog.sources.basin import escape, positions_path, records_path, streams_path
 from seqlog.sources.options import NEXT, SourceOptions
 
 
@@ -118,14 +118,6 @@ class LogIndex:
         return planned
 
 
-# Fixed set: characters a partition directory name holds as %XX.
-ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
-
-
-def escape(value: str) -> str:
-    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
-
-
 def read_range(partition: SeqRange):
     """Arrow batches of one range; row-group statistics skip what lies outside."""
     import pyarrow as pa
@@ -148,7 +140,7 @@ def read_range(partition: SeqRange):
     stored = ["seq_num", "headers", "body", "append_ts"]
     for batch in dataset.to_batches(columns=stored, filter=wanted):
         if batch.num_rows:
-            names = pa.array([partition.stream] * batch.num_rows, pa.string())
+            names = pa.repeat(pa.scalar(partition.stream, pa.string()), batch.num_rows)
             columns = [names]
             for name in stored:
                 columns.append(batch.column(name).cast(schema.field(name).type))

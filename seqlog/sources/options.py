@@ -18,6 +18,9 @@ REFUSED = {
     "maxbufferedrequests": _WRITER,
     "maxtimeinbufferms": _WRITER,
     "readsessionbufferbytes": "use maxRecordsPerStream to bound what one micro-batch reads",
+    "maxbatchsize": "an append is one batch; batches_by_count cuts rows by number",
+    "maxbatchsizeinbytes": "an append is one batch; batches_by_bytes cuts rows by size",
+    "maxrecordsizeinbytes": "a sink's bound, not the source's: max_record_bytes of the append functions",
 }
 KNOWN = {
     "basin",

@@ -1,4 +1,5 @@
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from seqlog.functions.records import STREAMS_SCHEMA, no_headers
 from seqlog.plans.staging import join_side, path_exists, scratch_path, shared_root
 from seqlog.plans.tables import UPSERT, LogTable, Tables
 from seqlog.sinks import append
-from seqlog.sinks.append import append_to_stream, append_to_streams, write_upserts
+from seqlog.sinks.append import append_to_stream, append_to_streams, expire_tails, write_upserts
 from seqlog.sources.basin import (
     append_path,
     check_tail,
@@ -92,11 +93,12 @@ def test_a_broken_append_is_replaced(spark, basin):
     assert texts(scan(spark, source)) == [("a", 0, "0"), ("a", 1, "1"), ("a", 2, "2")]
 
 
-def test_tails_are_carried_forward(spark, basin, monkeypatch):
-    """Only a writer's newest snapshots stay, and they know streams its last appends did not touch."""
-    monkeypatch.setattr(append, "KEPT_SNAPSHOTS", 4)
+def test_tails_are_carried_forward(spark, basin):
+    """A writer's newest snapshots suffice: they know streams its last appends did not touch."""
     for i in range(7):
         append_lines(spark, basin, [("a" if i else "b", str(i))], writer="one")
+    assert len(snapshots(spark, basin, "one")) == 7
+    expire_tails(spark, basin, "one", 4)
     append_lines(spark, basin, [("c", "0")], writer="two")
     tails = dict(pairs(check_tail(spark, basin), "stream", "next_seq"))
     assert tails == {"a": 6, "b": 1, "c": 1}
@@ -207,6 +209,57 @@ def test_stream_scan_prunes_partitions(spark, basin):
     assert "PartitionFilters: [" in plan and "stream" in plan.split("PartitionFilters: [")[1][:200]
 
 
+def test_a_scan_opens_only_the_files_it_needs(spark, basin):
+    for i in range(3):
+        append_lines(spark, basin, [("a", str(2 * i)), ("a", str(2 * i + 1)), ("b", "x")], batch_id=i)
+    source = SourceOptions(basin, discovery_prefix="")
+
+    def opened(frame):
+        return len([f for f in frame.inputFiles() if "/records/" in f])
+
+    assert opened(scan(spark, source)) == 6
+    resume = spark.createDataFrame([("a", 3), ("b", 3)], "stream string, next_seq bigint")
+    rest = scan(spark, source, resume=resume)
+    assert opened(rest) == 2
+    assert [s for _, s, _ in texts(rest)] == [3, 4, 5]
+    at_the_end = spark.createDataFrame([("a", 6), ("b", 3)], "stream string, next_seq bigint")
+    assert scan(spark, source, resume=at_the_end).count() == 0
+
+
+@pytest.mark.parametrize("writers", [("batch", "batch"), ("one", "two")])
+def test_two_writers_never_share_positions(spark, basin, writers):
+    def run(writer):
+        for i in range(2):
+            append_lines(spark, basin, [("a", f"{writer}{i}") for _ in range(5)], writer=writer)
+
+    with ThreadPoolExecutor(2) as pool:
+        raised = [f.exception() for f in [pool.submit(run, w) for w in writers]]
+    got = [(s, t) for _, s, t in texts(scan(spark, SourceOptions(basin, ("a",))))]
+    seqs = [s for s, _ in got]
+    if any(raised):  # both published at once: never silently
+        assert all(isinstance(e, RuntimeError) for e in raised if e)
+    else:
+        assert seqs == list(range(20))
+
+
+def test_an_append_that_was_overtaken_is_numbered_again(spark, basin, monkeypatch):
+    append_lines(spark, basin, [("a", "0")])
+    carry, raced = append._carry_tails_forward, []
+
+    def overtaken(ends, *where):
+        carry(ends, *where)
+        if not raced:
+            raced.append(True)
+            append_lines(spark, basin, [("a", "first")], writer="other")
+
+    monkeypatch.setattr(append, "_carry_tails_forward", overtaken)
+    append_lines(spark, basin, [("a", "second"), ("b", "0")])
+    rows = texts(scan(spark, SourceOptions(basin, discovery_prefix="")))
+    assert rows == [("a", 0, "0"), ("a", 1, "first"), ("a", 2, "second"), ("b", 0, "0")]
+    append_lines(spark, basin, [("a", "third")])
+    assert pairs(check_tail(spark, basin), "stream", "next_seq") == [("a", 4), ("b", 1)]
+
+
 def test_an_empty_stream_name_is_refused(spark, basin):
     with pytest.raises(Exception, match="record without a stream"):
         append_lines(spark, basin, [("", "x"), ("a", "y")])
