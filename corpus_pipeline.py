@@ -15,6 +15,8 @@ from seqlog.llm.substrings import remove_repeats
 from seqlog.plans.staging import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Near copies share at least so many percent of their runs of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of every group of near copies; documents without id stay."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = near_duplicates(docs, NEAR_WORDS, percent=NEAR_PERCENT).where("kept")
+    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
 
 

@@ -1,14 +1,14 @@
 """Near-duplicate classes by MinHash signatures and a multi-index Hamming join.
 
-A document's set is its distinct three-word shingles. Equal sets are one class; only class
-representatives go on. A signature has POSITIONS minimum hashes, of which BITS bits are kept, and the
-distance of two signatures is the number of positions that differ. Positions are cut into chunks; with
-a distance of at most RADIUS some chunk has at most ERRORS errors (pigeonhole), so for every chunk all
-ways to leave out ERRORS positions are enumerated, and the rest is a key. Every pair within RADIUS
-shares a key, without exception; a pair at the similarity threshold is farther apart than RADIUS with a
-probability of some 3 in a million.
-
-Signatures that share a key meet in a task, which links those within RADIUS. It hands on a spanning
+A document's set is its distinct shingles of `size` words. Equal sets are one class; only class
+representatives go on. A signature has so many minimum hashes as the threshold asks for (`positions`), of
+which BITS bits are kept, and the distance of two signatures is the number of positions that differ.
+Positions are cut into chunks; with a distance of at most the radius some chunk has at most ERRORS errors (pigeonhole), so for every chunk all
+ways to leave out ERRORS positions are enumerated, and the rest is a key. Every pair within the radius
+shares a key, without exception; a pair at the similarity threshold, whichever it is, is farther apart than
+the radius with a probability of some 3 in a million.
+
+Signatures that share a key meet in a task, which links those within the radius. It hands on a spanning
 forest, never pairs. Connected signatures are a cluster: every candidate pair lies within one. Then the
 cluster's texts meet, their full sets are compared, and again only a spanning forest of confirmed links
 goes on. Keys and clusters of many members are cut into blocks, and every two blocks meet in a task of
@@ -20,6 +20,7 @@ they are kept. Only id and text are read. An empty table gives no rows.
 """
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,11 +42,37 @@ from seqlog.llm.common import (
 )
 
 SHINGLE = 3
-#: Links need 100 * common shingles >= PERCENT * shingles of both.
+#: Links need 100 * common shingles >= PERCENT * shingles of both. Both values are those of op1.
 PERCENT = 85
-POSITIONS, BITS, CHUNK, ERRORS = 32, 16, 4, 1
-#: The largest distance for which pigeonhole holds: one error more in every chunk is one too many.
-RADIUS = (POSITIONS // CHUNK) * (ERRORS + 1) - 1
+BITS, CHUNK, ERRORS = 16, 4, 1
+#: Largest probability that a pair at the threshold is farther apart than the radius.
+MISS = 3.6e-6
+
+
+def radius(positions: int) -> int:
+    """The largest distance for which pigeonhole holds: one error more in every chunk is one too many."""
+    return (positions // CHUNK) * (ERRORS + 1) - 1
+
+
+def miss(positions: int, percent: float) -> float:
+    """Probability that more positions than the radius differ in a pair at the threshold."""
+    same = percent / 100
+    return sum(
+        math.comb(positions, k) * (1 - same) ** k * same ** (positions - k)
+        for k in range(radius(positions) + 1, positions + 1)
+    )
+
+
+def positions_for(percent: float) -> int:
+    """The fewest positions, in whole chunks, with a miss chance of MISS at most."""
+    # Nearer to a radius of half the positions, signatures would have hundreds of them and more.
+    if not 60 <= percent <= 100:
+        raise ValueError("percent must be from 60 to 100")
+    return next(n for n in itertools.count(CHUNK, CHUNK) if miss(n, percent) <= MISS)
+
+
+POSITIONS = positions_for(PERCENT)
+RADIUS = radius(POSITIONS)
 #: Members of a key, and texts of a cluster, that are compared with each other in one task.
 KEY_BLOCK, TEXT_BLOCK = 4_096, 512
 #: Documents whose words are held at a time while they are signed.
@@ -60,13 +87,13 @@ def shingles(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(run_hashes(word_hashes(words), min(size, len(words)))) if words else np.empty(0, np.uint64)
 
 
-def _multipliers() -> tuple[np.ndarray, np.ndarray]:
-    numbers = mixed(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return numbers[:POSITIONS] | np.uint64(1), numbers[POSITIONS:]
+def _multipliers(positions: int) -> tuple[np.ndarray, np.ndarray]:
+    numbers = mixed(np.arange(1, 2 * positions + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return numbers[:positions] | np.uint64(1), numbers[positions:]
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    factors, terms = _multipliers()
+def signature(hashes: np.ndarray, positions: int = POSITIONS) -> np.ndarray:
+    factors, terms = _multipliers(positions)
     least = np.array([(hashes * a + b).min() for a, b in zip(factors, terms, strict=True)], np.uint64)
     return (mixed(least) >> np.uint64(64 - BITS)).astype(np.uint16)
 
@@ -74,7 +101,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     """Keys of every signature: each chunk with each choice of ERRORS positions left out."""
     keys = []
-    for chunk in range(POSITIONS // CHUNK):
+    for chunk in range(signatures.shape[1] // CHUNK):
         for kept in itertools.combinations(range(CHUNK), CHUNK - ERRORS):
             key = np.full(len(signatures), len(keys) + 1, np.uint64)
             for place in kept:
@@ -83,7 +110,7 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
-def _signer(size: int):
+def _signer(size: int, positions: int):
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
@@ -94,8 +121,8 @@ def _signer(size: int):
                 found = np.unique(run_hashes(words[end - n : end], min(size, n))) if n else np.empty(0, np.uint64)
                 counts.append(len(found))
                 sets.append((mixed(found).sum(), mixed(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()))
-                signatures.append(signature(found) if n else np.zeros(POSITIONS, np.uint16))
-            stacked = np.array(signatures, np.uint16).reshape(-1, POSITIONS)
+                signatures.append(signature(found, positions) if n else np.zeros(positions, np.uint16))
+            stacked = np.array(signatures, np.uint16).reshape(-1, positions)
             keys = chunk_keys(stacked)
             two = np.array(sets, np.uint64).reshape(-1, 2).view(np.int64)
             offsets = np.arange(len(texts) + 1, dtype=np.int32) * keys.shape[1]
@@ -149,24 +176,27 @@ def _groups(*columns: np.ndarray) -> Iterator[np.ndarray]:
             yield order[low:high]
 
 
-def _near(group: pa.Table) -> pa.Table:
-    """Spanning forest of the signatures within RADIUS, for each key."""
-    ids, sizes = group.column("rep").to_numpy(), group.column("n_shingles").to_numpy()
-    signatures = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-    found = []
-    for places in _groups(group.column("key").to_numpy(), group.column("pair").to_numpy()):
-        forest, own, n = Forest(len(places)), signatures[places], sizes[places]
-        for i in range(len(places) - 1):
-            later = slice(i + 1, None)
-            close = (own[later] != own[i]).sum(axis=1) <= RADIUS
-            close &= 100 * np.minimum(n[later], n[i]) >= PERCENT * np.maximum(n[later], n[i])
-            if close.any():
-                forest.link(i, np.flatnonzero(close) + i + 1)
-        found.append(forest.edges(ids[places]))
-    return _edge_table(found)
-
-
-def _confirmer(size: int):
+def _linker(percent: float, positions: int):
+    def near(group: pa.Table) -> pa.Table:
+        """Spanning forest of the signatures within the radius, for each key."""
+        ids, sizes = group.column("rep").to_numpy(), group.column("n_shingles").to_numpy()
+        signatures = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, positions)
+        found = []
+        for places in _groups(group.column("key").to_numpy(), group.column("pair").to_numpy()):
+            forest, own, n = Forest(len(places)), signatures[places], sizes[places]
+            for i in range(len(places) - 1):
+                later = slice(i + 1, None)
+                close = (own[later] != own[i]).sum(axis=1) <= radius(positions)
+                close &= 100 * np.minimum(n[later], n[i]) >= percent * np.maximum(n[later], n[i])
+                if close.any():
+                    forest.link(i, np.flatnonzero(close) + i + 1)
+            found.append(forest.edges(ids[places]))
+        return _edge_table(found)
+
+    return near
+
+
+def _confirmer(size: int, percent: float):
     def confirmed(group: pa.Table) -> pa.Table:
         """Spanning forest of the texts whose full sets are similar enough, for each cluster."""
         ids = group.column("rep").to_numpy()
@@ -186,7 +216,7 @@ def _confirmer(size: int):
                 total = lengths[at]
                 jump = np.repeat(starts[at] - (np.cumsum(total) - total), total)
                 common = np.bincount(owner[np.arange(total.sum()) + jump], minlength=len(places))
-                linked = np.flatnonzero(100 * common >= PERCENT * (n + n[i] - common))
+                linked = np.flatnonzero(100 * common >= percent * (n + n[i] - common))
                 linked = linked[linked > i]
                 if len(linked):
                     forest.link(i, linked)
@@ -221,13 +251,17 @@ def _in_blocks(rows: DataFrame, group: str, count: str, block: int, packs: int)
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    size: int = SHINGLE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: float = PERCENT,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row."""
-    spark = docs.sparkSession
+    """doc_id, n_shingles, component_id and kept of every row; links share `percent` of their shingles."""
+    spark, positions = docs.sparkSession, positions_for(percent)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     with arrow_rows(spark, SIGNED_DOCS):
-        signed, _ = written(rows.mapInArrow(frugal(_signer(size)), SIGNED), "signatures")
+        signed, _ = written(rows.mapInArrow(frugal(_signer(size, positions)), SIGNED), "signatures")
     # Equal sets: one representative, the smallest id, to which the others are linked.
     full = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     copies = full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"))
@@ -247,7 +281,7 @@ def near_duplicates(
         _in_blocks(members, "key", "n", KEY_BLOCK, packs)
         .select("task", "key", "pair", "rep", "n_shingles", "signature")
         .groupBy("task")
-        .applyInArrow(_near, "a bigint, b bigint")
+        .applyInArrow(_linker(percent, positions), "a bigint, b bigint")
     )
     clusters = min_labels(near).withColumnRenamed("id", "rep").withColumnRenamed("label", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
@@ -260,7 +294,7 @@ def near_duplicates(
         _in_blocks(texts, "cluster", "n", TEXT_BLOCK, packs)
         .select("task", "cluster", "pair", "rep", "text")
         .groupBy("task")
-        .applyInArrow(_confirmer(size), "a bigint, b bigint")
+        .applyInArrow(_confirmer(size, percent), "a bigint, b bigint")
     )
     same = classed.where("doc_id > rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     labels = min_labels(links.union(same))

@@ -118,6 +118,13 @@ def test_chunk_keys_hold_every_pair_within_the_radius():
         assert (near_dedup.chunk_keys(one) == near_dedup.chunk_keys(other)).any()
 
 
+def test_positions_keep_the_miss_chance_at_every_threshold():
+    assert (near_dedup.POSITIONS, near_dedup.RADIUS) == (32, 15)
+    assert near_dedup.positions_for(80) == 48
+    for percent in (60, 70, 80, 85, 95, 100):
+        assert near_dedup.miss(near_dedup.positions_for(percent), percent) <= near_dedup.MISS
+
+
 def test_labels_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(5, 5)]
     got = {r.id: r.label for r in min_labels(spark.createDataFrame(links, "a long, b long")).collect()}
