@@ -51,13 +51,14 @@ def pre_token_pattern(content: str) -> str:
 
     Letters come first, as most pre-tokens are such; special strings begin with a sign. Possessive
     where a run of signs must stop before a special string: that form needs no stack,
-    however long the run is.
+    however long the run is. Blanks before a special string stay whole, as
+    the text that the model sees ends there; before other words the last blank is left to the word.
     """
     special, gap = special_pattern(content), r"\p{IsWhite_Space}"
     signs = rf"[^{gap}\p{{L}}\p{{N}}]"
     return (
         rf" ?\p{{L}}+|{special}|'s|'t|'re|'ve|'m|'ll|'d| ?\p{{N}}+| ?(?:(?!{special}){signs})++"
-        rf"|{gap}+(?!\P{{IsWhite_Space}})|{gap}+(?={special})|{gap}+"
+        rf"|{gap}++(?={special})|{gap}+(?!\P{{IsWhite_Space}})|{gap}+"
     )
 
 

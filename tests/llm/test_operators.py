@@ -141,6 +141,16 @@ def test_bpe_equals_the_library_and_round_trips(rows, docs, empty):
     assert bpe.encode(empty, BYTE_BPE).count() == 0
 
 
+def test_bpe_blanks_before_special_strings(spark):
+    blanks = ["\n", "\n\n", "\n\n\n\n", "  ", " \n \t\n", "\t\t ", "\u3000\xa0 ", "\r\n\r\n"]
+    made = [f"{head}{b}<|endoftext|>{tail}" for b in blanks for head in ("", "a", "a.") for tail in ("", "b", f"{b}c")]
+    frame = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    tokenizer = loaded(read_tokenizer(BYTE_BPE))
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(frame, BYTE_BPE).collect()}
+    assert got == {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(made)}
+    assert got[made.index("a\n\n<|endoftext|>b")] == [64, 628, 50256, 65]
+
+
 def test_decoding_of_arbitrary_ids(spark):
     ids = [[220, 10, 50256, -1, 99999], [], None, [127, 236, 50000]]
     frame = spark.createDataFrame([(1, x) for x in ids], "doc_id long, ids array<int>")
