@@ -6,7 +6,9 @@ all weight. Two bits are counted in one 64-bit sum, so a bit costs half an addit
 
 Near fingerprints: bits are cut into radius + 1 blocks. Two fingerprints within the radius agree in one
 block at least, so one table per block, keyed by it, holds every such pair under an equal key. Equal
-fingerprints are one entry in the tables, so a group of copies is no hot key.
+fingerprints are one entry in the tables, so a group of copies is no hot key. Fingerprints of one key meet
+as an array; a key of many is cut in blocks and every two blocks meet in an array of their own. A meeting
+hands on counts and a spanning forest, never pairs.
 
 A null or empty text, or one without words, has the fingerprint of no votes (all bits clear). Equal texts
 have equal fingerprints. Rows with equal ids stand in the order of their texts; null ids come last.
@@ -16,7 +18,7 @@ Only the two named columns are read. An empty table gives no rows.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqlog.llm.common import GAP, table, written
+from seqlog.llm.common import GAP, min_labels, table, written
 
 #: 64-bit words of a fingerprint.
 WORDS = 2
@@ -24,6 +26,8 @@ WORDS = 2
 MAX_WEIGHT = 15
 #: Hamming radius of near fingerprints.
 RADIUS = 3
+#: Distinct fingerprints of a block key that are compared with each other in one array.
+KEY_BLOCK = 128
 LANES = (1 << 32) + 1
 LOWEST = -(1 << 63)
 
@@ -91,20 +95,111 @@ def near_pairs(fingerprints: DataFrame, radius: int = RADIUS, words: int = WORDS
     return both.select(*mine, *[f"near{k}" for k in range(words)]).distinct()
 
 
-def _block_tables(fingerprints: DataFrame, radius: int, words: int) -> DataFrame:
-    """One row per distinct fingerprint and block: (block, key, fp0, ...)."""
+def _places(radius: int, words: int) -> list[tuple[int, int, int]]:
+    """Word, first bit and width of every block."""
     width = -(-64 * words // (radius + 1))
     if 64 % width and width % 64:
         raise ValueError("blocks must not straddle two words of a fingerprint")
-    blocks = []
-    for start in range(0, 64 * words, width):
-        value = F.shiftrightunsigned(F.col(f"fp{start // 64}"), start % 64)
-        blocks.append(value if width >= 64 else value.bitwiseAND(F.lit((1 << width) - 1)))
+    return [(start // 64, start % 64, width) for start in range(0, 64 * words, width)]
+
+
+def _block(word: Column, start: int, width: int) -> Column:
+    value = F.shiftrightunsigned(word, start)
+    return value if width >= 64 else value.bitwiseAND(F.lit((1 << width) - 1))
+
+
+def _blocks(distinct: DataFrame, radius: int, words: int) -> DataFrame:
+    """Every row once per block, with `block` and `key`."""
+    keys = [_block(F.col(f"fp{word}"), start, width) for word, start, width in _places(radius, words)]
+    return distinct.select(F.posexplode(F.array(*keys)).alias("block", "key"), *distinct.columns)
+
+
+def _block_tables(fingerprints: DataFrame, radius: int, words: int) -> DataFrame:
+    """One row per distinct fingerprint and block: (block, key, fp0, ...)."""
+    return _blocks(fingerprints.select(*[f"fp{k}" for k in range(words)]).distinct(), radius, words)
+
+
+def _meetings(prints: DataFrame, radius: int, words: int) -> DataFrame:
+    """`node`, `others` (rows of near fingerprints) and `low` (a node it is linked to), per meeting.
+
+    `prints`: distinct fingerprints with `node`, a number each, and `n`, their rows. A pair counts where
+    its first equal block meets, so over all meetings it counts once.
+    """
+    columns, places = [f"fp{k}" for k in range(words)], _places(radius, words)
+    tables = _blocks(prints.select("node", "n", *columns), radius, words)
+    large = tables.groupBy("block", "key").agg(F.ceil(F.count("*") / KEY_BLOCK).cast("int").alias("_n"))
+    cut = tables.join(large.where("_n > 1"), ["block", "key"], "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    met = (
+        cut.withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+        .groupBy("block", "key", F.least("_mine", "_other").alias("_x"), F.greatest("_mine", "_other").alias("_y"))
+        .agg(F.collect_list(F.struct("node", "n", *columns, "_mine")).alias("_all"))
+        .where(F.size("_all") > 1)
+    )
+
+    def near(a: Column, b: Column) -> Column:
+        close = distance([a[c] for c in columns], [b[c] for c in columns]).between(1, radius)
+        close &= (F.col("_x") == F.col("_y")) | (a["_mine"] != b["_mine"])
+        for k, (word, start, width) in enumerate(places[:-1]):
+            differs = a[f"fp{word}"].bitwiseXOR(b[f"fp{word}"])
+            close &= (F.col("block") <= k) | (_block(differs, start, width) != 0)
+        return close
+
+    def linked(labels: Column, i: Column) -> Column:
+        one = F.element_at("_all", i)
+        both = F.zip_with("_all", labels, lambda e, label: F.struct(e.alias("e"), label.alias("label")))
+        touched = F.filter(both, lambda p: near(one, p["e"]) | (p["e"]["node"] == one["node"]))
+        merged = lambda t: F.transform(
+            labels, lambda label: F.when(F.array_contains(t, label), F.array_min(t)).otherwise(label)
+        )
+        # An array of one entry binds what was touched, so that it is found once.
+        bound = F.array(F.array_distinct(F.transform(touched, lambda p: p["label"])))
+        return F.element_at(F.transform(bound, lambda t: F.when(F.size(t) > 1, merged(t)).otherwise(labels)), 1)
+
+    others = F.transform(
+        "_all",
+        lambda a: F.aggregate(
+            F.filter("_all", lambda b: near(a, b)), F.lit(0).cast("long"), lambda total, b: total + b["n"]
+        ),
+    )
+    labels = F.aggregate(
+        F.sequence(F.lit(1), F.size("_all")), F.transform("_all", lambda e: e["node"]), linked
+    )
+    counted = F.zip_with("_all", others, lambda e, total: F.struct(e["node"].alias("node"), total.alias("others")))
+    found = F.zip_with(
+        counted,
+        labels,
+        lambda c, low: F.struct(c["node"].alias("node"), c["others"].alias("others"), low.alias("low")),
+    )
+    return met.select(F.explode(found).alias("_f")).select("_f.*").where("others > 0")
+
+
+def near_classes(
+    fingerprints: DataFrame, radius: int = RADIUS, words: int = WORDS, id_col: str = "doc_id"
+) -> DataFrame:
+    """fp0, ..., near_class and n_links of every fingerprint that another row has or is near to.
+
+    `n_links`: the other rows of equal fingerprint and all rows of near ones. `near_class`: the smallest id
+    that chains of near fingerprints reach; null where no row of them has an id.
+    """
     columns = [f"fp{k}" for k in range(words)]
+    rows = fingerprints.groupBy(*columns).agg(F.min(id_col).alias("rep"), F.count("*").alias("n"))
+    prints, _ = written(rows.withColumn("node", F.monotonically_increasing_id()), "prints")
+    links, _ = written(_meetings(prints, radius, words), "near-prints")
+    counts = links.groupBy("node").agg(F.sum("others").alias("others"))
+    labels = min_labels(links.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")))
+    labelled = labels.withColumnRenamed("id", "node").join(prints.select("node", "rep"), "node")
+    classes = labelled.groupBy("label").agg(F.min("rep").alias("near_class"))
+    reached = labelled.select("node", "label").join(classes, "label").select("node", "near_class")
     return (
-        fingerprints.select(*columns)
-        .distinct()
-        .select(F.posexplode(F.array(*blocks)).alias("block", "key"), *columns)
+        prints.join(counts, "node", "left")
+        .join(reached, "node", "left")
+        .select(
+            *columns,
+            F.coalesce("near_class", "rep").alias("near_class"),
+            (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+        )
+        .where("n_links > 0")
     )
 
 
@@ -222,7 +317,8 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def op10_fingerprints(spark, sf_dir) -> DataFrame:
     compared, _ = written(compare_edits(table(spark, sf_dir, "documents")), "fingerprints")
     words = [f"fp{k}" for k in range(WORDS)]
-    near = with_near(compared).withColumn("has_near", F.lit(True))
+    near = near_classes(compared)
+    links = F.coalesce("n_links", F.lit(0).cast("long"))
     return compared.join(near, words, "left").select(
         "doc_id",
         "n_chars",
@@ -231,5 +327,7 @@ def op10_fingerprints(spark, sf_dir) -> DataFrame:
         "edited_fingerprint",
         "near_edited",
         "near_next",
-        F.coalesce("has_near", F.lit(False)).alias("has_near"),
+        (links > 0).alias("has_near"),
+        F.coalesce("near_class", "doc_id").alias("near_class"),
+        links.alias("n_links"),
     )

@@ -325,6 +325,33 @@ def test_near_fingerprints_equal_brute_force(spark):
     assert {tuple(r) for r in fingerprints.with_near(frame).collect()} == {e[:2] for e in expected} | {e[2:] for e in expected}
 
 
+def test_near_classes_equal_brute_force(spark, monkeypatch):
+    """Chains, equal fingerprints, a crowded block key, repeated and null ids; keys cut in blocks too."""
+    rng, mask = random.Random(6), (1 << 64) - 1
+    wide = [rng.getrandbits(128) for _ in range(25)]
+    for _ in range(60):
+        wide.append(rng.choice(wide) ^ sum(1 << f for f in rng.sample(range(128), rng.randint(0, 4))))
+    wide += [wide[0] ^ (1 << f) for f in range(20)]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    ids = [None if k % 9 == 0 else 200 - k // 2 for k in range(len(wide))]
+    rows = [(i, signed(x & mask), signed(x >> 64)) for i, x in zip(ids, wide, strict=True)]
+    near = lambda x, y: bin(x ^ y).count("1") <= 3
+    classes = link_classes([(x, y) for x in wide for y in wide if x < y and near(x, y)], set(wide))
+    expected = {}
+    for x, (_, fp0, fp1) in zip(wide, rows, strict=True):
+        members = [i for i, y in zip(ids, wide, strict=True) if classes[y] == classes[x] and i is not None]
+        links = sum(near(x, y) for y in wide) - 1
+        if links:
+            expected[fp0, fp1] = (min(members, default=None), links)
+    frame = spark.createDataFrame(rows, "doc_id long, fp0 long, fp1 long").repartition(3)
+    for block in (128, 4):
+        monkeypatch.setattr(fingerprints, "KEY_BLOCK", block)
+        got = fingerprints.near_classes(frame).collect()
+        assert len(got) == len(expected)
+        assert {(r.fp0, r.fp1): (r.near_class, r.n_links) for r in got} == expected
+    assert fingerprints.near_classes(frame.limit(0)).count() == 0
+
+
 def test_urls(spark):
     pages = [
         (1, "https://A.com/x?y", None), (2, "http://example.com/en/a", ""), (3, "https://www.example.com/en/", ""),
