@@ -1,6 +1,7 @@
 """The queries of this folder, and those of them that SQL can express."""
 
 from seqlog.llm.bpe import op2_bpe
+from seqlog.llm.fill_middle import OP11_SQL, op11_fill_middle
 from seqlog.llm.fingerprints import op10_fingerprints
 from seqlog.llm.mixing import OP7_SQL, op7_mixing
 from seqlog.llm.near_dedup import op1_near_dedup
@@ -12,7 +13,6 @@ from seqlog.llm.toxicity import op5_toxicity
 from seqlog.llm.url_filter import OP3_SQL, op3_url_filter
 
 
-
 def pipeline(spark, sf_dir):
     """The stages of corpus_pipeline.py one after the other."""
     import corpus_pipeline
@@ -32,9 +32,11 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_token_counts": op9_token_counts,
     "op10_fingerprints": op10_fingerprints,
+    "op11_fill_middle": op11_fill_middle,
 }
 ORACLE: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op7_mixing": OP7_SQL,
     "op8_top_k": OP8_SQL,
+    "op11_fill_middle": OP11_SQL,
 }

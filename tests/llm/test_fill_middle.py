@@ -1,0 +1,104 @@
+"""Cuts of the wavelet matrix against a regular expression; outputs against plain Python."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from seqlog.llm import fill_middle as fim
+from seqlog.llm.queries import QUERIES
+
+ODD = [
+    None, "", "a", "é", "one", "one two", "a<P>b", "<S", "<<S>>", "<M>", "ends <", "x" * 200_000, "漢字👍🏽 ab1c",
+    "İstanbul ſK", "\n\n \t x\x0b\x0cy  ", "<P <S <M", "1 2 3" * 900, "[@`{ azAZ",
+]
+
+
+def units(text):
+    return re.findall(r"[A-Za-z]+|[^A-Za-z]", text, re.DOTALL)
+
+
+def by_hand(doc_id, text, seed=1):
+    text = text or ""
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[8 * k : 8 * k + 8], 16) for k in range(4))
+    parts = units(text)
+    a, b = sorted((h1 % (len(parts) + 1), h2 % (len(parts) + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return len(parts), "plain", None, None, text
+    prefix, middle, suffix = ("".join(p) for p in (parts[:a], parts[a:b], parts[b:]))
+    if h4 % 100 < 20:
+        return len(parts), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return len(parts), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+@given(st.lists(st.integers(0, 6), max_size=400))
+@settings(max_examples=60, deadline=None)
+def test_ranks(symbols):
+    symbols = np.array(symbols, np.uint8)
+    matrix = fim.WaveletMatrix(symbols, 3)
+    places = np.arange(len(symbols) + 1)
+    for symbol in range(7):
+        expected = np.concatenate(([0], np.cumsum(symbols == symbol)))
+        assert matrix.rank(symbol, places).tolist() == expected.tolist()
+
+
+@given(st.lists(st.text("abZ 1é<👍", max_size=80), min_size=1, max_size=20), st.randoms(use_true_random=False))
+@settings(max_examples=80, deadline=None)
+def test_cuts_of_documents_that_share_a_matrix(texts, rng):
+    held = fim.Units(texts)
+    assert held.counts.tolist() == [len(units(t)) for t in texts]
+    wanted = [rng.randint(0, len(units(t))) for t in texts]
+    expected = [len("".join(units(t)[:k])) for t, k in zip(texts, wanted, strict=True)]
+    assert held.cuts(np.array(wanted)).tolist() == expected
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(5)
+    made = ["".join(rng.choice("ab <PSM>1é\n") for _ in range(rng.randint(0, 90))) for _ in range(300)]
+    return [(i, t) for i, t in enumerate(ODD + made)] + [(None, "a null id"), (7, "an id again"), (7, "an id again")]
+
+
+def test_against_plain_python(spark, rows, monkeypatch):
+    schema = "doc_id long, text string, n string, output int, h1 string, form string"
+    docs = spark.createDataFrame([(i, t, "x", 1, "y", "z") for i, t in rows], schema).repartition(3)
+    made = fim.fill_middle(docs).withColumn("back", fim.restored(F.col("output"), F.col("form")))
+    got = sorted(repr(tuple(r)) for r in made.collect())
+    assert got == sorted(repr((i, *by_hand(i, t), t or "")) for i, t in rows)
+    assert {r.form for r in made.select("form").collect()} == {"plain", "psm", "spm"}
+
+
+def test_another_seed_draws_otherwise(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(repr(tuple(r)) for r in fim.fill_middle(docs, seed=9).collect())
+    assert got == sorted(repr((i, *by_hand(i, t, 9))) for i, t in rows)
+
+
+def test_long_texts_stand_alone():
+    import pyarrow as pa
+
+    texts = ["a", "b" * (fim.SHARED_BYTES + 5), None, "c", "d" * fim.SHARED_BYTES]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    assert [g.num_rows for g in fim._groups(batch)] == [1, 1, 2, 1]
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert fim.fill_middle(empty).collect() == []
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    expected = set()
+    for r in docs:
+        *numbers, output = by_hand(r.doc_id, r.text)
+        expected.add((r.doc_id, *numbers, digest(output), digest(r.text or "")))
+    assert {tuple(r) for r in QUERIES["op11_fill_middle"](spark, folder).collect()} == expected
