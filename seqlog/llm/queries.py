@@ -1,6 +1,7 @@
 """The queries of this folder, and those of them that SQL can express."""
 
 from seqlog.llm.bpe import op2_bpe
+from seqlog.llm.collocations import OP13_SQL, op13_collocations
 from seqlog.llm.fill_middle import OP11_SQL, op11_fill_middle
 from seqlog.llm.fingerprints import op10_fingerprints
 from seqlog.llm.mixing import OP7_SQL, op7_mixing
@@ -33,10 +34,12 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_fingerprints": op10_fingerprints,
     "op11_fill_middle": op11_fill_middle,
+    "op13_collocations": op13_collocations,
 }
 ORACLE: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op7_mixing": OP7_SQL,
     "op8_top_k": OP8_SQL,
     "op11_fill_middle": OP11_SQL,
+    "op13_collocations": OP13_SQL,
 }
