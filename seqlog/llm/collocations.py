@@ -15,10 +15,13 @@ stripes of a prefix together, where they are added element by element. One merge
 - the prefix's total, which is the count of the prefix (for the empty prefix: all words);
 - the largest extension, against which the prefix is held for subsumption.
 
-Ids stand for words throughout, so nothing is decided by a hash. The stripe of a frequent prefix is cut
-by suffix into shards of about SHARD occurrences, that of no words into as many shards as all words
-need, and sorted shards are merged as they stream in: no task holds a prefix's whole counter, and a
-block sends one row for it however often it occurs.
+Ids stand for words throughout, so nothing is decided by a hash. A frequent prefix's stripe is cut by
+suffix into shards of about `Sizes.shard` occurrences. Stripes are dealt into buckets by prefix and shard, that
+of no words into buckets by word; what a block has for a bucket travels as one row of packed numbers, so
+the rows do not grow with the number of prefixes, and buckets are merged as they stream in. No task holds a
+prefix's whole counter. However often a phrase occurs in a block, the block sends one element for it, so a merge holds
+some 30 bytes per block for the commonest phrase (with blocks of 8 MB that is 0.4 GB at 100 TB; larger
+blocks make it less).
 
 A score needs the counts of a phrase's beginnings (the totals of its prefixes) and of its ends (the
 counts of its suffixes); both lists are one element longer than those of the prefix and the suffix.
@@ -46,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqlog.llm.common import arrow_rows, drop_written, frugal, frugal_pair, table, written
+from seqlog.llm.common import arrow_rows, drop_written, frugal, frugal_pair, mixed, table, written
 
 LONGEST, LEAST, BEST = 5, 100, 2_000
 #: The language of texts that name none.
@@ -60,9 +63,9 @@ class Sizes(NamedTuple):
     #: Characters of a block's texts, and of all blocks that a task fills at a time.
     block: int = 8 << 20
     held: int = 16 << 20
-    #: Occurrences of a prefix that share a shard of its stripe.
+    #: Occurrences of a prefix that share a shard of its stripe, and of all words that share a bucket.
     shard: int = 1 << 18
-    #: Stripe elements that a task merges at once, beyond those of the last prefix.
+    #: Stripe elements that a task merges at once, beyond those of the last bucket.
     merged: int = 1 << 20
     #: Candidates that are ranked in one task before the best of all tasks meet.
     ranked: int = 1 << 20
@@ -72,19 +75,45 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 #: Upper case to lower case, ends of pieces to full stops.
 LETTERS = bytes(ord(".") if c in ENDS else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
-BLOCKS = "block bigint, lang string, words bigint, dictionary array<string>, counts array<bigint>, codes array<int>"
-#: State of a block (codes), and its stripes, of one size.
+BLOCKS = "block bigint, lang string, words bigint, n bigint, codes binary, dictionary array<string>, counts binary"
+#: What a block has of the empty prefix for one bucket: words, their counts and their places in its dictionary.
+WORDS = "block bigint, bucket bigint, n bigint, lang string, words array<string>, counts binary, at binary"
+#: State of a block (codes), or its stripes for one bucket: `sizes` suffixes for each of the prefixes.
 STRIPES = (
-    "block bigint, codes array<int>, prefix bigint, shard bigint, "
-    "suffixes array<bigint>, counts array<bigint>, at array<int>"
+    "block bigint, n bigint, codes binary, bucket bigint, start bigint, stripes bigint, "
+    "prefixes binary, sizes binary, suffixes binary, counts binary"
 )
 #: A merged stripe (total, most), its frequent extensions (id, times), and what goes back to a block.
 MERGES = (
     "kind string, prefix bigint, suffix bigint, lang string, word string, id bigint, times bigint, "
-    "total bigint, most bigint, block bigint, at array<int>, ids array<bigint>, seen array<bigint>"
+    "total bigint, most bigint, block bigint, n bigint, at binary, ids binary, shards binary"
 )
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers by planes of their bytes, compressed: high bytes that agree take no room."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, n * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
+
+
+def _all_unpacked(column: pa.ChunkedArray, sizes: list[int], kind: type) -> np.ndarray:
+    parts = [unpacked(data, n, kind) for data, n in zip(column.to_pylist(), sizes, strict=True)]
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
+def _arrow_schema(ddl: str) -> pa.Schema:
+    kinds = {
+        "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()),
+    }
+    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in ddl.split(","))])
+
+
 def words_of(text: str) -> list[bytes]:
     """Words of a text in order, with a full stop at each end of a piece."""
     return text.encode("utf-8").translate(LETTERS).replace(b".", b" . ").split()
@@ -108,18 +137,12 @@ def _block(lang: str, texts: list[str]) -> pa.RecordBatch:
         codes.append(0)
     numbers = without_gaps(np.array(codes, np.int32) - 1)
     counts = np.bincount(numbers[numbers >= 0], minlength=len(known) - 1)
-    dictionary = [word.decode("utf-8") for word in list(known)[1:]]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([random.getrandbits(63)], pa.int64()),
-            pa.array([lang], pa.string()),
-            pa.array([int(counts.sum())], pa.int64()),
-            pa.array([dictionary], pa.list_(pa.string())),
-            pa.array([counts], pa.list_(pa.int64())),
-            pa.array([numbers], pa.list_(pa.int32())),
-        ],
-        names=["block", "lang", "words", "dictionary", "counts", "codes"],
-    )
+    row = {
+        "block": random.getrandbits(63), "lang": lang, "words": int(counts.sum()), "n": len(numbers),
+        "codes": packed(numbers), "dictionary": [word.decode("utf-8") for word in list(known)[1:]],
+        "counts": packed(counts.astype(np.int64)),
+    }
+    return pa.RecordBatch.from_pylist([row], _arrow_schema(BLOCKS))
 
 
 def _blocks(sizes: Sizes):
@@ -147,108 +170,104 @@ def _blocks(sizes: Sizes):
 
 
 def extensions(
-    cur: np.ndarray, times: np.ndarray, first: np.ndarray, size: int
-) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]:
-    """A block's phrases one word longer, and its stripes.
-
-    `cur` has a position's phrase as a place in `first` (its id) and `times` (its count everywhere), or
-    NOTHING; `size` is that of a shard. Returned are the positions' pairs of neighbours, numbered, and a
-    stripe per prefix and shard: prefix, shard, suffixes, counts and the pairs' numbers. The count of occurrences without a
-    frequent neighbour stands under NOTHING.
+    cur: np.ndarray, ids: np.ndarray, shards: np.ndarray, buckets: int
+) -> tuple[np.ndarray, Iterator[dict]]:
+    """A block's phrases one word longer, and its stripes by bucket.
+
+    `cur` has each position's phrase as a place in `ids` and `shards` (those of its stripe), or NOTHING.
+    Phrases one word longer are numbered by bucket, prefix and suffix, so the elements of a bucket's row
+    are numbered from `start` on. Occurrences without a frequent neighbour count under the suffix NOTHING.
     """
-    if not (cur >= 0).any():
-        return np.empty(0, np.int32), []
+    at = np.nonzero(cur >= 0)[0]
+    if not len(at):
+        return np.empty(0, np.int32), iter(())
     follows = np.full(len(cur), NOTHING, cur.dtype)
     follows[:-1] = cur[1:]
-    at = np.nonzero(cur >= 0)[0]
-    width = len(first) + 1
+    width = len(ids) + 1
     pairs, number, counts = np.unique(
         cur[at].astype(np.int64) * width + follows[at] + 1, return_inverse=True, return_counts=True
     )
     prefix, suffix = pairs // width, pairs % width - 1
+    suffix_id = np.where(suffix >= 0, ids[suffix], NOTHING)
+    shard = np.where(suffix >= 0, mixed(suffix_id.view(np.uint64)) % shards[prefix].astype(np.uint64), 0)
+    bucket = (mixed(ids[prefix].view(np.uint64) + shard.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((suffix_id, ids[prefix], bucket))
+    numbers = np.empty(len(order), np.int32)
+    numbers[order] = np.arange(len(order), dtype=np.int32)
     longer = np.full(len(cur), NOTHING, np.int32)
-    longer[at] = np.where(suffix[number] >= 0, number, NOTHING)
-    suffix_id = np.where(suffix >= 0, first[suffix], NOTHING)
-    shards = -(-times // size)
-    shard = np.where(suffix_id >= 0, suffix_id, 0) % shards[prefix]
-    order = np.lexsort((shard, prefix))
-    changes = np.nonzero((np.diff(prefix[order]) != 0) | (np.diff(shard[order]) != 0))[0] + 1
-    stripes = []
-    for part in np.split(order, changes):
-        one = part[0]
-        stripes.append((int(first[prefix[one]]), int(shard[one]), suffix_id[part], counts[part], part))
-    return without_gaps(longer), stripes
-
-
-def _stripes(block: pa.Table, found: pa.Table, size: int, last: bool) -> pa.Table:
+    longer[at] = np.where(suffix[number] >= 0, numbers[number], NOTHING)
+    bucket, prefix_id, suffix_id, counts = bucket[order], ids[prefix][order], suffix_id[order], counts[order]
+
+    def rows() -> Iterator[dict]:
+        edges = [0, *(np.nonzero(np.diff(bucket))[0] + 1).tolist(), len(bucket)]
+        for start, end in zip(edges, edges[1:], strict=False):
+            prefixes, sizes = np.unique(prefix_id[start:end], return_counts=True)
+            yield {
+                "n": end - start, "bucket": int(bucket[start]), "start": start, "stripes": len(prefixes),
+                "prefixes": packed(prefixes), "sizes": packed(sizes.astype(np.int32)),
+                "suffixes": packed(suffix_id[start:end]), "counts": packed(counts[start:end].astype(np.int32)),
+            }
+
+    return without_gaps(longer), rows()
+
+
+def _stripes(block: pa.Table, found: pa.Table, buckets: int, last: bool) -> pa.Table:
     """A block's stripes of the next size, from its state and the ids of its frequent phrases."""
-    states, rows, number = [], [], NOTHING
+    rows = []
     if block.num_rows and found.num_rows:
-        number = block.column("block")[0].as_py()
-        codes = block.column("codes").combine_chunks().values.to_numpy(zero_copy_only=False)
-        at, ids, seen = (
-            np.concatenate([np.asarray(v.values) for v in found.column(name)]) for name in ("at", "ids", "seen")
-        )
+        codes = unpacked(block.column("codes")[0].as_py(), block.column("n")[0].as_py(), np.int32)
+        sizes = found.column("n").to_pylist()
+        at = _all_unpacked(found.column("at"), sizes, np.int32)
+        ids = _all_unpacked(found.column("ids"), sizes, np.int64)
+        shards = _all_unpacked(found.column("shards"), sizes, np.int32)
         # The frequent phrases alone, numbered anew.
         places = np.full(max(int(codes.max(initial=0)), int(at.max())) + 1, NOTHING, np.int32)
         places[at] = np.arange(len(at), dtype=np.int32)
-        cur = without_gaps(np.where(codes >= 0, places[codes], NOTHING))
-        longer, rows = extensions(cur, seen, ids, size)
-        states = [] if last or not len(longer) else [longer]
-    n = len(states) + len(rows)
-    none = [None] * len(states)
-    return pa.table(
-        {
-            "block": pa.array([number] * n, pa.int64()),
-            "codes": pa.array(states + [None] * len(rows), pa.list_(pa.int32())),
-            "prefix": pa.array(none + [r[0] for r in rows], pa.int64()),
-            "shard": pa.array(none + [r[1] for r in rows], pa.int64()),
-            "suffixes": pa.array(none + [r[2] for r in rows], pa.list_(pa.int64())),
-            "counts": pa.array(none + [r[3] for r in rows], pa.list_(pa.int64())),
-            "at": pa.array(none + [r[4] for r in rows], pa.list_(pa.int32())),
-        }
-    )
+        longer, stripes = extensions(without_gaps(np.where(codes >= 0, places[codes], NOTHING)), ids, shards, buckets)
+        rows = list(stripes)
+        if not last and len(longer):
+            rows.append({"n": len(longer), "codes": packed(longer)})
+        number = block.column("block")[0].as_py()
+        rows = [row | {"block": number} for row in rows]
+    return pa.Table.from_pylist(rows, _arrow_schema(STRIPES))
 
 
-def _word_stripes(shards: int):
-    """The stripes of the empty prefix, one per language and shard."""
+def _word_stripes(buckets: int):
+    """The stripe of the empty prefix in a block's language, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, lang, dictionary, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                cut = defaultdict(list)
-                for at, word in enumerate(dictionary):
-                    cut[crc32(word.encode("utf-8")) % shards].append(at)
-                parts = sorted(cut.items())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block] * len(parts), pa.int64()),
-                        pa.array([lang] * len(parts), pa.string()),
-                        pa.array([shard for shard, _ in parts], pa.int64()),
-                        pa.array([[dictionary[i] for i in at] for _, at in parts], pa.list_(pa.string())),
-                        pa.array([[counts[i] for i in at] for _, at in parts], pa.list_(pa.int64())),
-                        pa.array([at for _, at in parts], pa.list_(pa.int32())),
-                    ],
-                    names=["block", "prefix", "shard", "suffixes", "counts", "at"],
-                )
+        for block, lang, words, n, *_, dictionary, counts in (
+            row.values() for batch in batches for row in batch.to_pylist()
+        ):
+            bucket = np.fromiter((crc32(w.encode("utf-8")) % buckets for w in dictionary), np.int64, len(dictionary))
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            counts = unpacked(counts, len(dictionary), np.int64)
+            edges = np.nonzero(np.diff(bucket[order]))[0] + 1
+            rows = [
+                {
+                    "block": block, "bucket": int(bucket[at[0]]), "n": len(at), "lang": lang,
+                    "words": [dictionary[i] for i in at.tolist()], "counts": packed(counts[at]), "at": packed(at),
+                }
+                for at in np.split(order, edges) if len(at)
+            ]
+            yield pa.RecordBatch.from_pylist(rows, _arrow_schema(WORDS))
 
     return run
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], merged: int) -> Iterator[pa.Table]:
-    """Rows sorted by prefix and shard as tables of some `merged` elements that cut no shard."""
+def _whole_buckets(batches: Iterator[pa.RecordBatch], merged: int) -> Iterator[pa.Table]:
+    """Rows sorted by bucket as tables of some `merged` elements that cut no bucket."""
     held, size = [], 0
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
-        size += len(batch.column("at").flatten())
+        size += pc.sum(batch.column("n")).as_py()
         if size < merged:
             continue
         rows, size = pa.Table.from_batches(held), 0
-        last = rows.slice(rows.num_rows - 1).select(["prefix", "shard"]).to_pylist()[0]
-        of_last = pc.and_(pc.equal(rows.column("prefix"), last["prefix"]), pc.equal(rows.column("shard"), last["shard"]))
-        cut = pc.index(of_last, True).as_py()
+        bucket = rows.column("bucket")
+        cut = pc.index(bucket, bucket[-1]).as_py()
         if cut:
             yield rows.slice(0, cut)
         held = rows.slice(cut).to_batches()
@@ -256,79 +275,92 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], merged: int) -> Iterator[pa
         yield pa.Table.from_batches(held)
 
 
+class Elements:
+    """Elements of many blocks' stripes: prefix and suffix as places among the distinct ones, and counts."""
+
+    def __init__(self, rows: pa.Table, words: bool):
+        sizes = rows.column("n").to_pylist()
+        self.blocks, self.row = rows.column("block").to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+        if words:
+            self.counts = _all_unpacked(rows.column("counts"), sizes, np.int64)
+            self.at = _all_unpacked(rows.column("at"), sizes, np.int32)
+            of_row, self.prefixes = _numbered(rows.column("lang").combine_chunks())
+            self.prefix = of_row[self.row]
+            self.suffix, self.suffixes = _numbered(rows.column("words").combine_chunks().flatten())
+            self.other = np.zeros(len(self.suffixes), bool)
+        else:
+            self.counts = _all_unpacked(rows.column("counts"), sizes, np.int32).astype(np.int64)
+            begins = np.cumsum(sizes) - sizes
+            start = rows.column("start").to_numpy()
+            self.at = (np.arange(len(self.row)) + (start - begins)[self.row]).astype(np.int32)
+            stripes = rows.column("stripes").to_pylist()
+            lengths = _all_unpacked(rows.column("sizes"), stripes, np.int32)
+            of_stripe, self.prefixes = _numbered(pa.array(_all_unpacked(rows.column("prefixes"), stripes, np.int64)))
+            self.prefix = np.repeat(of_stripe, lengths)
+            self.suffix, self.suffixes = _numbered(pa.array(_all_unpacked(rows.column("suffixes"), sizes, np.int64)))
+            self.other = self.suffixes.to_numpy() == NOTHING
+
+
 def _numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
     coded = values.dictionary_encode()
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
-def _merged(rows: pa.Table, least: int, next_id: int, words: bool, deliver: bool) -> pa.Table:
+def _merged(rows: pa.Table, least: int, next_id: int, words: bool, deliver: bool, shard: int) -> pa.Table:
     """Stripes added up: totals, frequent extensions, and what the blocks get back."""
-    rows = rows.combine_chunks()
-    lists = [rows.column(c).combine_chunks() for c in ("suffixes", "counts", "at")]
-    sizes = pc.list_value_length(lists[0]).to_numpy()
-    suffixes, (counts, at) = lists[0].flatten(), (column.flatten().to_numpy() for column in lists[1:])
-    prefix_of, prefixes = _numbered(rows.column("prefix").combine_chunks())
-    suffix_of, suffix_values = _numbered(suffixes)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    keys, key_of = np.unique(prefix_of[row] * len(suffix_values) + suffix_of, return_inverse=True)
+    found = Elements(rows, words)
+    keys, key_of = np.unique(found.prefix * len(found.suffixes) + found.suffix, return_inverse=True)
     sums = np.zeros(len(keys), np.int64)
-    np.add.at(sums, key_of, counts)
-    prefix, suffix = keys // len(suffix_values), keys % len(suffix_values)
-    if words:
-        other = np.zeros(len(keys), bool)
-    else:
-        other = suffix_values.to_numpy()[suffix] == NOTHING
-    total, most = np.zeros(len(prefixes), np.int64), np.zeros(len(prefixes), np.int64)
+    np.add.at(sums, key_of, found.counts)
+    prefix, suffix = keys // len(found.suffixes), keys % len(found.suffixes)
+    named = ~found.other[suffix]
+    total, most = np.zeros(len(found.prefixes), np.int64), np.zeros(len(found.prefixes), np.int64)
     np.add.at(total, prefix, sums)
-    np.maximum.at(most, prefix, np.where(other, 0, sums))
-    frequent = np.nonzero((sums >= least) & ~other)[0]
+    np.maximum.at(most, prefix, np.where(named, sums, 0))
+    frequent = np.nonzero((sums >= least) & named)[0]
     ids = np.full(len(keys), NOTHING, np.int64)
     ids[frequent] = next_id + np.arange(len(frequent))
-
-    def part(kind: str, n: int, **columns) -> pa.Table:
-        return pa.table({"kind": pa.array([kind] * n, pa.string()), **columns})
-
-    of_prefix = "lang" if words else "prefix"
+    of_prefix, of_suffix = ("lang", "word") if words else ("prefix", "suffix")
     tables = [
-        part("stripe", len(prefixes), total=pa.array(total), most=pa.array(most), **{of_prefix: prefixes}),
-        part(
-            "phrase", len(frequent), id=pa.array(ids[frequent]), times=pa.array(sums[frequent]),
-            **{
-                of_prefix: prefixes.take(pa.array(prefix[frequent])),
-                "word" if words else "suffix": suffix_values.take(pa.array(suffix[frequent])),
-            },
+        pa.table(
+            {"kind": pa.array(["stripe"] * len(total)), of_prefix: found.prefixes, "total": total, "most": most}
+        ),
+        pa.table(
+            {
+                "kind": pa.array(["phrase"] * len(frequent), pa.string()),
+                of_prefix: found.prefixes.take(pa.array(prefix[frequent])),
+                of_suffix: found.suffixes.take(pa.array(suffix[frequent])),
+                "id": ids[frequent],
+                "times": sums[frequent],
+            }
         ),
     ]
     if deliver:
         mine = np.nonzero(ids[key_of] >= 0)[0]
-        block = rows.column("block").to_numpy()[row[mine]]
-        order = np.argsort(block, kind="stable")
-        mine, block = mine[order], block[order]
-        begins = np.nonzero(np.concatenate(([True], block[1:] != block[:-1])))[0] if len(block) else block
-        offsets = pa.array(np.append(begins, len(block)), pa.int32())
-        lists = {
-            name: pa.ListArray.from_arrays(offsets, pa.array(values, kind))
-            for name, values, kind in (
-                ("at", at[mine], pa.int32()),
-                ("ids", ids[key_of[mine]], pa.int64()),
-                ("seen", sums[key_of[mine]], pa.int64()),
-            )
-        }
-        tables.append(part("delivery", len(begins), block=pa.array(block[begins], pa.int64()), **lists))
+        mine = mine[np.argsort(found.blocks[found.row[mine]], kind="stable")]
+        block, key = found.blocks[found.row[mine]], key_of[mine]
+        shards = (-(-sums // shard)).astype(np.int32)
+        deliveries = []
+        for part in np.split(np.arange(len(mine)), np.nonzero(np.diff(block))[0] + 1):
+            if len(part):
+                deliveries.append(
+                    {
+                        "kind": "delivery", "block": int(block[part[0]]), "n": len(part),
+                        "at": packed(found.at[mine[part]]), "ids": packed(ids[key[part]]),
+                        "shards": packed(shards[key[part]]),
+                    }
+                )
+        tables.append(pa.Table.from_pylist(deliveries, _arrow_schema(MERGES)))
     return pa.concat_tables(tables, promote_options="default")
 
 
-def _merge(least: int, words: bool, deliver: bool, size: int):
-    kinds = {
-        "bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32()),
-        "array<bigint>": pa.list_(pa.int64()),
-    }
-    schema = pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in MERGES.split(","))])
+def _merge(least: int, words: bool, deliver: bool, sizes: Sizes):
+    schema = _arrow_schema(MERGES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_id = TaskContext.get().partitionId() << 40
-        for rows in _whole_groups(batches, size):
-            merged = _merged(rows, least, next_id, words, deliver)
+        for rows in _whole_buckets(batches, sizes.merged):
+            merged = _merged(rows, least, next_id, words, deliver, sizes.shard)
             next_id += merged.num_rows - merged.column("id").null_count
             columns = [
                 merged.column(f.name).cast(f.type) if f.name in merged.column_names
@@ -350,38 +382,32 @@ def _levels(docs: DataFrame, text: Column, lang: Column, longest: int, least: in
         return read
 
     def merge(stripes: DataFrame, words: bool, deliver: bool, label: str) -> DataFrame:
-        rows = stripes.select("block", "prefix", "shard", "suffixes", "counts", "at")
-        sorted_rows = rows.repartition("prefix", "shard").sortWithinPartitions("prefix", "shard")
-        with arrow_rows(spark, 2_000):
-            return keep(sorted_rows.mapInArrow(frugal(_merge(least, words, deliver, sizes.merged)), MERGES), label)
+        dealt = stripes.repartition("bucket").sortWithinPartitions("bucket")
+        with arrow_rows(spark, 500):
+            return keep(dealt.mapInArrow(frugal(_merge(least, words, deliver, sizes)), MERGES), label)
 
     rows = docs.select(F.coalesce(lang.cast("string"), F.lit(UNKNOWN)).alias("lang"), text.cast("string").alias("text"))
-    blocks = keep(rows.where("text <> ''").mapInArrow(frugal(_blocks(sizes)), BLOCKS), "word-blocks")
+    blocks, blocks_path = written(rows.where("text <> ''").mapInArrow(frugal(_blocks(sizes)), BLOCKS), "word-blocks")
     total = blocks.agg(F.sum("words")).first()[0] or 0
+    buckets = -(-total // sizes.shard) or 1
     with arrow_rows(spark, 1):
-        stripes = keep(
-            blocks.select("block", "lang", "dictionary", "counts").mapInArrow(
-                frugal(_word_stripes(-(-total // sizes.shard) or 1)),
-                "block bigint, prefix string, shard bigint, suffixes array<string>, counts array<bigint>, at array<int>",
-            ),
-            "word-stripes",
-        )
+        stripes, stripes_path = written(blocks.mapInArrow(frugal(_word_stripes(buckets)), WORDS), "word-stripes")
     merges = [merge(stripes, True, longest > 1, "words")]
-    drop_written(spark, paths.pop(1))
-    states, states_path = blocks.select("block", "codes"), paths.pop(0)
+    drop_written(spark, stripes_path)
+    states, states_path = blocks.select("block", "n", "codes"), blocks_path
     for size in range(2, longest + 1):
-        deliveries = merges[-1].where("kind = 'delivery'").select(F.col("block").alias("to"), "at", "ids", "seen")
+        deliveries = merges[-1].where("kind = 'delivery'").select(F.col("block").alias("to"), "n", "at", "ids", "shards")
 
         def join(block: pa.Table, found: pa.Table, last: bool = size == longest) -> pa.Table:
-            return _stripes(block, found, sizes.shard, last)
+            return _stripes(block, found, buckets, last)
 
         both, both_path = written(
             states.groupBy("block").cogroup(deliveries.groupBy("to")).applyInArrow(frugal_pair(join), STRIPES),
             f"stripes-{size}",
         )
         drop_written(spark, states_path)
-        merges.append(merge(both.where("prefix IS NOT NULL"), False, size < longest, f"phrases-{size}"))
-        states, states_path = both.where("codes IS NOT NULL").select("block", "codes"), both_path
+        merges.append(merge(both.where("bucket IS NOT NULL").drop("codes"), False, size < longest, f"phrases-{size}"))
+        states, states_path = both.where("codes IS NOT NULL").select("block", "n", "codes"), both_path
     drop_written(spark, states_path)
     return merges, paths
 

@@ -101,15 +101,18 @@ def test_stripes_hold_extensions_totals_and_maxima(docs, rows):
         assert all(m == best[p] or (p not in best and m < 4) for p, (_, m) in merged.items())
 
 
-def test_groups_are_whole():
-    keys = [(1, 0)] * 5 + [(1, 1)] * 2 + [(2, 0)] * 9 + [(3, 0)]
-    batches = [
-        pa.RecordBatch.from_pydict({"prefix": [p], "shard": [s], "at": pa.array([[0] * 3], pa.list_(pa.int32()))})
-        for p, s in keys
-    ]
-    tables = [sorted(set(zip(t["prefix"].to_pylist(), t["shard"].to_pylist(), strict=True)))
-              for t in col._whole_groups(iter(batches), 6)]
-    assert sorted(k for t in tables for k in t) == [(1, 0), (1, 1), (2, 0), (3, 0)]
+def test_buckets_are_whole():
+    buckets = [1] * 5 + [2] * 2 + [3] * 9 + [4]
+    batches = [pa.RecordBatch.from_pydict({"bucket": [b], "n": [3]}) for b in buckets]
+    tables = [t["bucket"].to_pylist() for t in col._whole_buckets(iter(batches), 6)]
+    assert [b for t in tables for b in t] == buckets and sum(len(set(t)) for t in tables) == 4
+
+
+def test_packing():
+    for kind in (np.int32, np.int64):
+        for values in ([], [5], [-1, 2**31 - 1, 0, 7] * 50):
+            values = np.array(values, kind)
+            assert col.unpacked(col.packed(values), len(values), kind).tolist() == values.tolist()
 
 
 def test_gaps():
