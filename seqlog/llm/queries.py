@@ -12,6 +12,7 @@ from seqlog.llm.token_counts import op9_token_counts
 from seqlog.llm.top_k import OP8_SQL, op8_top_k
 from seqlog.llm.toxicity import op5_toxicity
 from seqlog.llm.url_filter import OP3_SQL, op3_url_filter
+from seqlog.llm.warc import OP12_SQL, op12_warc
 
 
 def pipeline(spark, sf_dir):
@@ -34,6 +35,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_fingerprints": op10_fingerprints,
     "op11_fill_middle": op11_fill_middle,
+    "op12_warc": op12_warc,
     "op13_collocations": op13_collocations,
 }
 ORACLE: dict[str, str] = {
@@ -41,5 +43,6 @@ ORACLE: dict[str, str] = {
     "op7_mixing": OP7_SQL,
     "op8_top_k": OP8_SQL,
     "op11_fill_middle": OP11_SQL,
+    "op12_warc": OP12_SQL,
     "op13_collocations": OP13_SQL,
 }
