@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqlog.llm.common import arrow_rows, drop_written, frugal, table, written
+from seqlog.llm.common import arrow_rows, drop_written, frugal, shuffles_removed, table, written
 from seqlog.plans.staging import scratch_path
 
 VERSION, END = "WARC/1.1", "\r\n"
@@ -98,7 +98,7 @@ def _http(length: Column) -> Column:
 def write_archives(
     pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
     least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, date: datetime | None = None,
-    compression: str = "none",
+    compression: str = "gzip",
 ) -> None:
     """Write a record per row into archives in `folder`, which must be new."""
     spark = pages.sparkSession
@@ -160,13 +160,10 @@ def write_archives(
     total = headers.agg(F.sum(F.col("bytes") + 600)).first()[0] or 0
     archives = -(-total // archive_bytes) or 1
     records = kept.select(response.alias("record_text")).union(revisits.select(revisit.alias("record_text")))
-    (
+    with shuffles_removed(spark):
         # In turn, so that repeated rows are spread as well; Spark sorts first, so a task that runs again deals alike.
-        records.repartition(archives)
-        .write.option("lineSep", END + END)
-        .option("compression", compression)
-        .text(folder)
-    )
+        dealt = records.repartition(archives)
+        dealt.write.option("lineSep", END + END).option("compression", compression).text(folder)
     drop_written(spark, headers_path, originals_path, revisits_path)
 
 
@@ -264,6 +261,7 @@ def op12_warc(spark, sf_dir) -> DataFrame:
     write_archives(table(spark, sf_dir, "pages"), folder)
     with arrow_rows(spark, 1):
         records, _ = written(read_archives(spark, folder, payloads=False).drop("payload"), "warc-records")
+    drop_written(spark, folder)
     return resolve(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
