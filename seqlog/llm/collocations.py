@@ -44,12 +44,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqlog.llm.common import arrow_rows, drop_written, frugal, frugal_pair, mixed, table, written
+from seqlog.llm.packing import all_unpacked, arrow_schema, packed, unpacked, whole_buckets
 
 LONGEST, LEAST, BEST = 5, 100, 2_000
 #: The language of texts that name none.
@@ -90,30 +90,6 @@ MERGES = (
 )
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Numbers by planes of their bytes, compressed: high bytes that agree take no room."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
-
-
-def unpacked(data: bytes, n: int, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(data, n * width, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
-
-
-def _all_unpacked(column: pa.ChunkedArray, sizes: list[int], kind: type) -> np.ndarray:
-    parts = [unpacked(data, n, kind) for data, n in zip(column.to_pylist(), sizes, strict=True)]
-    return np.concatenate(parts) if parts else np.empty(0, kind)
-
-
-def _arrow_schema(ddl: str) -> pa.Schema:
-    kinds = {
-        "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()),
-    }
-    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in ddl.split(","))])
-
-
 def words_of(text: str) -> list[bytes]:
     """Words of a text in order, with a full stop at each end of a piece."""
     return text.encode("utf-8").translate(LETTERS).replace(b".", b" . ").split()
@@ -142,7 +118,7 @@ def _block(lang: str, texts: list[str]) -> pa.RecordBatch:
         "codes": packed(numbers), "dictionary": [word.decode("utf-8") for word in list(known)[1:]],
         "counts": packed(counts.astype(np.int64)),
     }
-    return pa.RecordBatch.from_pylist([row], _arrow_schema(BLOCKS))
+    return pa.RecordBatch.from_pylist([row], arrow_schema(BLOCKS))
 
 
 def _blocks(sizes: Sizes):
@@ -217,9 +193,9 @@ def _stripes(block: pa.Table, found: pa.Table, buckets: int, last: bool) -> pa.T
     if block.num_rows and found.num_rows:
         codes = unpacked(block.column("codes")[0].as_py(), block.column("n")[0].as_py(), np.int32)
         sizes = found.column("n").to_pylist()
-        at = _all_unpacked(found.column("at"), sizes, np.int32)
-        ids = _all_unpacked(found.column("ids"), sizes, np.int64)
-        shards = _all_unpacked(found.column("shards"), sizes, np.int32)
+        at = all_unpacked(found.column("at"), sizes, np.int32)
+        ids = all_unpacked(found.column("ids"), sizes, np.int64)
+        shards = all_unpacked(found.column("shards"), sizes, np.int32)
         # The frequent phrases alone, numbered anew.
         places = np.full(max(int(codes.max(initial=0)), int(at.max())) + 1, NOTHING, np.int32)
         places[at] = np.arange(len(at), dtype=np.int32)
@@ -229,7 +205,7 @@ def _stripes(block: pa.Table, found: pa.Table, buckets: int, last: bool) -> pa.T
             rows.append({"n": len(longer), "codes": packed(longer)})
         number = block.column("block")[0].as_py()
         rows = [row | {"block": number} for row in rows]
-    return pa.Table.from_pylist(rows, _arrow_schema(STRIPES))
+    return pa.Table.from_pylist(rows, arrow_schema(STRIPES))
 
 
 def _word_stripes(buckets: int):
@@ -250,31 +226,11 @@ def _word_stripes(buckets: int):
                 }
                 for at in np.split(order, edges) if len(at)
             ]
-            yield pa.RecordBatch.from_pylist(rows, _arrow_schema(WORDS))
+            yield pa.RecordBatch.from_pylist(rows, arrow_schema(WORDS))
 
     return run
 
 
-def _whole_buckets(batches: Iterator[pa.RecordBatch], merged: int) -> Iterator[pa.Table]:
-    """Rows sorted by bucket as tables of some `merged` elements that cut no bucket."""
-    held, size = [], 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        size += pc.sum(batch.column("n")).as_py()
-        if size < merged:
-            continue
-        rows, size = pa.Table.from_batches(held), 0
-        bucket = rows.column("bucket")
-        cut = pc.index(bucket, bucket[-1]).as_py()
-        if cut:
-            yield rows.slice(0, cut)
-        held = rows.slice(cut).to_batches()
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 class Elements:
     """Elements of many blocks' stripes: prefix and suffix as places among the distinct ones, and counts."""
 
@@ -282,22 +238,22 @@ class Elements:
         sizes = rows.column("n").to_pylist()
         self.blocks, self.row = rows.column("block").to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
         if words:
-            self.counts = _all_unpacked(rows.column("counts"), sizes, np.int64)
-            self.at = _all_unpacked(rows.column("at"), sizes, np.int32)
+            self.counts = all_unpacked(rows.column("counts"), sizes, np.int64)
+            self.at = all_unpacked(rows.column("at"), sizes, np.int32)
             of_row, self.prefixes = _numbered(rows.column("lang").combine_chunks())
             self.prefix = of_row[self.row]
             self.suffix, self.suffixes = _numbered(rows.column("words").combine_chunks().flatten())
             self.other = np.zeros(len(self.suffixes), bool)
         else:
-            self.counts = _all_unpacked(rows.column("counts"), sizes, np.int32).astype(np.int64)
+            self.counts = all_unpacked(rows.column("counts"), sizes, np.int32).astype(np.int64)
             begins = np.cumsum(sizes) - sizes
             start = rows.column("start").to_numpy()
             self.at = (np.arange(len(self.row)) + (start - begins)[self.row]).astype(np.int32)
             stripes = rows.column("stripes").to_pylist()
-            lengths = _all_unpacked(rows.column("sizes"), stripes, np.int32)
-            of_stripe, self.prefixes = _numbered(pa.array(_all_unpacked(rows.column("prefixes"), stripes, np.int64)))
+            lengths = all_unpacked(rows.column("sizes"), stripes, np.int32)
+            of_stripe, self.prefixes = _numbered(pa.array(all_unpacked(rows.column("prefixes"), stripes, np.int64)))
             self.prefix = np.repeat(of_stripe, lengths)
-            self.suffix, self.suffixes = _numbered(pa.array(_all_unpacked(rows.column("suffixes"), sizes, np.int64)))
+            self.suffix, self.suffixes = _numbered(pa.array(all_unpacked(rows.column("suffixes"), sizes, np.int64)))
             self.other = self.suffixes.to_numpy() == NOTHING
 
 
@@ -350,16 +306,16 @@ def _merged(rows: pa.Table, least: int, next_id: int, words: bool, deliver: bool
                         "shards": packed(shards[key[part]]),
                     }
                 )
-        tables.append(pa.Table.from_pylist(deliveries, _arrow_schema(MERGES)))
+        tables.append(pa.Table.from_pylist(deliveries, arrow_schema(MERGES)))
     return pa.concat_tables(tables, promote_options="default")
 
 
 def _merge(least: int, words: bool, deliver: bool, sizes: Sizes):
-    schema = _arrow_schema(MERGES)
+    schema = arrow_schema(MERGES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_id = TaskContext.get().partitionId() << 40
-        for rows in _whole_buckets(batches, sizes.merged):
+        for rows in whole_buckets(batches, sizes.merged):
             merged = _merged(rows, least, next_id, words, deliver, sizes.shard)
             next_id += merged.num_rows - merged.column("id").null_count
             columns = [

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from seqlog.llm import collocations as col
+from seqlog.llm import packing
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -104,7 +105,7 @@ def test_stripes_hold_extensions_totals_and_maxima(docs, rows):
 def test_buckets_are_whole():
     buckets = [1] * 5 + [2] * 2 + [3] * 9 + [4]
     batches = [pa.RecordBatch.from_pydict({"bucket": [b], "n": [3]}) for b in buckets]
-    tables = [t["bucket"].to_pylist() for t in col._whole_buckets(iter(batches), 6)]
+    tables = [t["bucket"].to_pylist() for t in packing.whole_buckets(iter(batches), 6)]
     assert [b for t in tables for b in t] == buckets and sum(len(set(t)) for t in tables) == 4
 
 
@@ -112,7 +113,7 @@ def test_packing():
     for kind in (np.int32, np.int64):
         for values in ([], [5], [-1, 2**31 - 1, 0, 7] * 50):
             values = np.array(values, kind)
-            assert col.unpacked(col.packed(values), len(values), kind).tolist() == values.tolist()
+            assert packing.unpacked(packing.packed(values), len(values), kind).tolist() == values.tolist()
 
 
 def test_gaps():

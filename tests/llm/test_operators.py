@@ -188,16 +188,37 @@ def removed_by_brute_force(rows):
     return out
 
 
-def test_repeated_passages_equal_brute_force(rows, docs, empty, monkeypatch):
+def test_repeated_passages_equal_brute_force(rows, docs, empty):
     expected = removed_by_brute_force(rows)
     assert sum(n for _, n, _ in expected.values()) > 1000
-    for block in (2_500, 7):
-        monkeypatch.setattr(substrings, "BLOCK_DOCS", block)
-        got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(docs).collect()}
-        assert got == expected
+    for sizes in (substrings.Sizes(), substrings.Sizes(block=5_000, bucket=100, merged=300)):
+        found = substrings.remove_repeats(docs, sizes=sizes).collect()
+        assert len(found) == len(expected)
+        assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in found} == expected
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_automaton_locates_every_occurrence_of_a_phrase():
+    text = " ".join(f"w{k % 31}" for k in range(200))
+    words = substrings.Words.split([text, "short", None, text])
+    _, times, places = words.phrases()
+    assert times.max() > 1 and not words.located(places[:0]).any()
+    wanted = text.split()[places[0] : places[0] + substrings.PHRASE]
+    parts = [*text.split(), "short", *text.split()]
+    expected = [parts[k : k + substrings.PHRASE] == wanted for k in range(len(parts))]
+    assert words.located(places[:1])[:-1].tolist() == expected and sum(expected) == times[0]
+
+
+def test_rows_that_share_an_id(spark):
+    """They do not cover each other, whichever block they are in; a larger id loses its words."""
+    text = " ".join(f"x{k}" for k in range(25))
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, text), (3, text + " " + text)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for sizes in (substrings.Sizes(), substrings.Sizes(block=1)):
+        got = sorted((r.doc_id or 9, r.n_removed) for r in substrings.remove_repeats(frame, sizes=sizes).collect())
+        assert got == [(1, 0), (1, 0), (2, 25), (3, 50), (9, 25), (9, 25)]
+
+
 def test_untouched_texts_and_carried_column(spark):
     frame = spark.createDataFrame([(1, " a  b ", "p"), (None, None, None)], "doc_id long, text string, c string")
     got = {r.doc_id: (r.kept, r.carried) for r in substrings.remove_repeats(frame, carry="c", untouched=True).collect()}
