@@ -76,7 +76,7 @@ RADIUS = radius(POSITIONS)
 #: Members of a key, and texts of a cluster, that are compared with each other in one task.
 KEY_BLOCK, TEXT_BLOCK = 4_096, 512
 #: Documents whose words are held at a time while they are signed.
-SIGNED_DOCS = 2_000
+SIGNED_DOCS = 500
 #: Rows that small groups are packed together for.
 PACK = 20_000
 SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, signature binary, keys array<bigint>"

@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -263,12 +262,14 @@ def clause_values(grammar: Grammar, spark):
     """A column function: the value of every text's clauses."""
     shared = spark.sparkContext.broadcast(grammar)
 
-    @F.pandas_udf("double")
-    def value(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def value(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lexicon = Lexicon(shared.value)
         try:
             for texts in batches:
-                yield pd.Series([text_value(t or "", lexicon) for t in texts], dtype="float64")
+                # A few texts at a time are Python objects.
+                few = (texts.slice(at, ENTRY_DOCS).to_pylist() for at in range(0, len(texts), ENTRY_DOCS))
+                yield pa.array([text_value(t or "", lexicon) for part in few for t in part], pa.float64())
         finally:
             lexicon.clear()
             give_back()
