@@ -39,11 +39,7 @@ def place(df: DataFrame, keys: list[str], order: list) -> Placed:
     range bounds come from sampling, so two separate runs of the plan need not agree on them.
     """
     if order:
-        hashable = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
-        df = df.withColumn("_content", F.xxhash64(*hashable))
-        df = df.withColumn("_arrival", F.monotonically_increasing_id())
-        sort = [*keys, *order, "_content", "_arrival"]
-        df = df.repartitionByRange(*sort).sortWithinPartitions(*sort).drop("_content", "_arrival")
+        df = ordered(df, keys, order)
     placed = df.withColumn("_part", F.spark_partition_id()).withColumn(
         "_at", F.monotonically_increasing_id()
     )
@@ -59,6 +55,17 @@ def place(df: DataFrame, keys: list[str], order: list) -> Placed:
     return Placed(rows, runs, tuple(keys), (rows_path, runs_path))
 
 
+def ordered(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """Partitions in order of key and `order`, ties by content; without an order, each in order of key and arrival."""
+    df = df.withColumn("_arrival", F.monotonically_increasing_id())
+    if not order:
+        return df.sortWithinPartitions(*keys, "_arrival").drop("_arrival")
+    hashable = [f.name for f in df.schema.fields if f.name != "_arrival" and not _has_map(f.dataType)]
+    df = df.withColumn("_content", F.xxhash64(*hashable))
+    sort = [*keys, *order, "_content", "_arrival"]
+    return df.repartitionByRange(*sort).sortWithinPartitions(*sort).drop("_content", "_arrival")
+
+
 def _has_map(kind: T.DataType) -> bool:
     return "map<" in kind.simpleString()
 

@@ -1,8 +1,10 @@
 """Written intermediate tables in the folder all executors share."""
 
+import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,50 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(target)]
 
 
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file that holds `text`, unless there is one of that name: then False, and nothing changes.
+
+    Of several callers at once one gets True. The file appears with its content: it is renamed from
+    another name, which fails if the target is there (on object stores only as far as they keep to that),
+    or linked, on a local file system.
+    """
+    jvm = spark._jvm
+    target, conf = jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    system = target.getFileSystem(conf)
+    stream = system.create(draft)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if system.getScheme() == "file":
+            os.link(draft.toUri().getPath(), target.toUri().getPath())
+        else:
+            kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+            options = spark.sparkContext._gateway.new_array(kind, 1)
+            options[0] = kind.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, options)
+    except (FileExistsError, Py4JJavaError) as error:
+        if isinstance(error, Py4JJavaError) and not system.exists(target):
+            raise
+        return False
+    finally:
+        system.delete(draft, False)
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, None if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return None
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def join_side(
     rows: DataFrame,
     side: DataFrame,

@@ -1,47 +1,39 @@
 """Appending records to streams with contiguous, ordered positions."""
 
 import re
+import uuid
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqlog.functions.plan import computed_once
 from seqlog.functions.records import HEADER_TYPE, metered_bytes
 from seqlog.operators.batching import MAX_RECORD_BYTES, checked
 from seqlog.operators.changelog import compact_upserts, upsert_encode
-from seqlog.operators.numbering import numbered, place
-from seqlog.plans.staging import remove_path
+from seqlog.operators.numbering import ordered
+from seqlog.plans.staging import child_names, write_once
 from seqlog.sources.basin import (
-    POSITIONS_SCHEMA,
-    append_name,
+    FILES_SCHEMA,
+    FOLD_EVERY,
     append_path,
-    check_tail,
-    claimed,
-    is_committed,
-    newest_snapshot,
-    newest_snapshots,
-    positions_path,
-    read_tails,
+    declared_streams,
+    files_path,
+    fold,
+    is_published,
+    publish,
+    published_path,
     records_path,
-    snapshots,
-    tails_path,
+    streams_path,
 )
 
 MAX_FILE_RECORDS = 1_000_000
-#: Times an append is numbered again because others took its positions.
-ATTEMPTS = 10
 
 
-def next_batch(spark: SparkSession, basin: str, writer: str) -> int:
-    """A batch id above the writer's finished ones that no other append has claimed."""
-    newest = newest_snapshot(spark, basin, writer)
-    batch_id = 0 if newest is None else newest + 1
-    while not claimed(spark, basin, append_name(writer, batch_id)):
-        batch_id += 1
-    return batch_id
+def append_name(writer: str, batch_id: int | None = None) -> str:
+    """Name of an append: that of a batch id is the same each time, one without is new."""
+    return f"{writer}-{uuid.uuid4().hex}" if batch_id is None else f"{writer}-{batch_id:012d}"
 
 
 def append_to_streams(
@@ -56,21 +48,17 @@ def append_to_streams(
     """Append records (`headers`, `body`) to the streams named by `route`; returns the append's name.
 
     Positions continue each stream's tail, gap-free and ascending by `order_by` (arrival order
-    without one). Many tasks write one stream. An append is known by writer and batch id: repeating a
-    finished one adds nothing, repeating a broken one replaces what it left. Without a batch id it claims
-    the next free one. Where another append takes the same positions first, this one is numbered again
-    behind it; should both publish in the same moment, one of them fails. A record above
-    `max_record_bytes` fails the append.
+    without one). Many tasks write one stream, and every record is written once. Appends with a batch id
+    are known by writer and batch id: repeating a published one adds nothing, repeating a broken one
+    replaces what it left. Appends at the same time follow each other in the order of their publication.
+    A record above `max_record_bytes` fails the append.
     """
     spark = df.sparkSession
     checked("max_record_bytes", max_record_bytes, 1, MAX_RECORD_BYTES)
     if not re.fullmatch(r"[A-Za-z0-9_.]+", writer):
         raise ValueError(f"writer must be letters, digits, _ and . only, not {writer!r}")
-    own_name = batch_id is None
-    if own_name:
-        batch_id = next_batch(spark, basin, writer)
     append_id = append_name(writer, batch_id)
-    if is_committed(spark, basin, append_id):
+    if batch_id is not None and is_published(spark, basin, append_id):
         return append_id
 
     stream = F.col(route) if isinstance(route, str) else route
@@ -93,91 +81,43 @@ def append_to_streams(
     sound = F.when(problem.isNull(), F.lit(True)).otherwise(
         F.raise_error(problem).cast("boolean")
     )
-    placed = place(rows.where(sound), ["stream"], order_names)
-    for _ in range(ATTEMPTS):
-        seen = newest_snapshots(spark, basin)
-        tails = check_tail(spark, basin).withColumnRenamed("next_seq", "_tail")
-        based = placed.runs.join(tails, "stream", "left").withColumn(
-            "_base", F.coalesce("_tail", F.lit(0))
-        )
-        records = numbered(replace(placed, runs=based), "seq_num", base="_base")
-        now = F.lit(datetime.now(timezone.utc))
-        target = append_path(records_path(basin), append_id)
-        (
-            records.select("stream", "seq_num", "headers", "body", now.alias("append_ts"))
-            .sortWithinPartitions("stream", "seq_num")
-            .write.mode("overwrite")
-            .option("maxRecordsPerFile", MAX_FILE_RECORDS)
-            .partitionBy("stream")
-            .parquet(target)
-        )
-        written = spark.read.schema("seq_num bigint, stream string").parquet(target)
-        files = written.groupBy("stream", F.col("_metadata.file_name").alias("file")).agg(
-            F.lit(writer).alias("writer"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.min("seq_num").alias("first_seq"),
-            (F.max("seq_num") + 1).alias("next_seq"),
-            F.count("*").alias("records"),
-            now.alias("append_ts"),
-        )
-        ends = based.groupBy("stream").agg(
-            now.alias("created_at"),
-            F.min("_base").alias("_base"),
-            (F.min("_base") + F.sum("_n")).alias("next_seq"),
-        )
-        _carry_tails_forward(ends.drop("_base"), basin, writer, batch_id)
-        if not _overtaken(ends, basin, seen):
-            break
-        # Another append took these positions meanwhile: number again behind it, and under a new name,
-        # as a writer's later batch must know all earlier ones.
-        remove_path(spark, target)
-        remove_path(spark, tails_path(basin, writer, batch_id))
-        if own_name:
-            batch_id = next_batch(spark, basin, writer)
-            append_id = append_name(writer, batch_id)
-    else:
-        raise RuntimeError(f"append {append_id}: other appends took its positions {ATTEMPTS} times")
+    target = append_path(records_path(basin), append_id)
     (
-        files.select([f for f in POSITIONS_SCHEMA.names if f != "append_id"])
+        ordered(rows.where(sound), ["stream"], order_names)
+        .select("stream", "headers", "body")
         .write.mode("overwrite")
-        .parquet(append_path(positions_path(basin), append_id))
+        .option("maxRecordsPerFile", MAX_FILE_RECORDS)
+        .partitionBy("stream")
+        .parquet(target)
     )
-    if _overtaken(ends, basin, seen, tails_path(basin, writer, batch_id)):
-        raise RuntimeError(f"append {append_id}: another append took the same positions at the same time")
-    placed.discard()
+    _list_files(df, basin, append_id, target)
+    number = publish(spark, basin, append_id)
+    if batch_id is not None:
+        write_once(spark, published_path(basin, append_id), str(number))
+    if (number + 1) % FOLD_EVERY == 0:
+        fold(spark, basin, number)
     return append_id
 
 
-def _overtaken(ends: DataFrame, basin: str, seen: list[str], own: str | None = None) -> bool:
-    """Whether an append finished since `seen` holds positions that this one has given out, too.
-
-    Without a new snapshot no job runs.
-    """
-    spark = ends.sparkSession
-    fresh = [path for path in newest_snapshots(spark, basin) if path not in seen and path != own]
-    if not fresh:
-        return False
-    taken = read_tails(spark, fresh).select("stream", F.col("next_seq").alias("_taken"))
-    return not ends.join(taken, "stream").where("_taken > _base").isEmpty()
-
-
-def expire_tails(spark: SparkSession, basin: str, writer: str, keep: int) -> None:
-    """Delete all but a writer's newest `keep` snapshots of tails. Frames planned on older ones fail."""
-    if keep < 1:
-        raise ValueError(f"keep must be at least 1, not {keep}")
-    for old in snapshots(spark, basin, writer)[keep:]:
-        remove_path(spark, tails_path(basin, writer, old))
-
-
-def _carry_tails_forward(ends: DataFrame, basin: str, writer: str, batch_id: int) -> None:
-    """Write the writer's tails after this append."""
-    spark = ends.sparkSession
-    before = newest_snapshot(spark, basin, writer, before=batch_id)
-    known = [] if before is None else [tails_path(basin, writer, before)]
-    tails = read_tails(spark, known).unionByName(ends).groupBy("stream").agg(
-        F.min("created_at").alias("created_at"), F.max("next_seq").alias("next_seq")
+def _list_files(df: DataFrame, basin: str, append_id: str, target: str) -> None:
+    """Write the append's table of files; their footers are read, no record is."""
+    spark = df.sparkSession
+    name = F.col("_metadata.file_name")
+    found = spark.read.schema("stream string").parquet(target).groupBy("stream", name.alias("file")).agg(
+        F.count("*").alias("records")
     )
-    tails.write.mode("overwrite").parquet(tails_path(basin, writer, batch_id))
+    # Files are named by task, and by number within a task that cut its share.
+    part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("bigint")
+    cut = F.regexp_extract("file", r"\.c(\d+)\.", 1).cast("bigint")
+    files = found.withColumn("place", part * 1_000_000 + cut)
+    if any(child.endswith(".parquet") for child in child_names(spark, streams_path(basin))):
+        begins = declared_streams(spark, basin).groupBy("stream").agg(F.max_by("first_seq", "version").alias("origin"))
+        files = files.join(begins, "stream", "left")
+    else:
+        files = files.withColumn("origin", F.lit(0).cast("bigint"))
+    files = files.withColumn("origin", F.coalesce("origin", F.lit(0).cast("bigint")))
+    files = files.withColumn("append_ts", F.lit(datetime.now(timezone.utc)))
+    files.select(*FILES_SCHEMA.names).write.mode("overwrite").parquet(append_path(files_path(basin), append_id))
 
 
 def append_to_stream(df: DataFrame, basin: str, stream: str, **options) -> str:

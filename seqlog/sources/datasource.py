@@ -2,6 +2,7 @@
 
 import time
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
@@ -18,18 +19,31 @@ from pyspark.sql.datasource import (
 )
 
 from seqlog.functions.records import LOG_SCHEMA
-from seqlog.sources.basin import escape, positions_path, records_path, streams_path
+from seqlog.sources.basin import (
+    append_path,
+    commit_path,
+    escape,
+    files_path,
+    fold_chain,
+    folds_path,
+    records_path,
+    streams_path,
+)
 from seqlog.sources.options import NEXT, SourceOptions
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 
 @dataclass
 class SeqRange(InputPartition):
-    """Positions [first, next) of a stream that are in one file."""
+    """Positions [first, next) of a stream that are in one file, which begins at `base`."""
 
     stream: str
     file: str
+    base: int
     first: int
     next: int
+    stamp: int
 
 
 def open_path(path: str):
@@ -59,92 +73,126 @@ def read_columns(path: str, columns: list[str]) -> list[dict]:
     return dataset.to_table(columns=columns).to_pylist() if dataset.files else []
 
 
+def read_file(system, path: str, columns: list[str]) -> list[dict]:
+    import pyarrow.parquet as pq
+
+    return pq.read_table(path, columns=columns, filesystem=system, partitioning=None).to_pylist()
+
+
 class LogIndex:
-    """Driver-side view of a basin's metadata: one entry per unread record file, never records."""
+    """Driver-side view of a basin's metadata: one entry per unread record file, never records.
+
+    It opens with the folded positions; afterwards it reads the commits that came since, and each
+    declaration of a stream once.
+    """
 
     def __init__(self, basin: str):
         self.basin = basin
-        self.seen: set[str] = set()
-        self.files: dict[str, list[tuple[int, int, int, str]]] = {}
+        self.commit: int | None = None
+        self.files: dict[str, list[tuple[int, int, str, int]]] = {}
         self.tails: dict[str, int] = {}
+        self.read_declarations: set[str] = set()
+        self.newest: dict[str, dict] = {}
 
     def refresh(self) -> None:
-        """Read the positions of appends finished since last time."""
-        for directory in child_directories(positions_path(self.basin)):
-            name = directory.rsplit("/", 1)[-1]
-            if not name.startswith("append_id=") or name in self.seen:
-                continue
-            system, root = open_path(directory)
-            if not system.get_file_info(f"{root}/_SUCCESS").is_file:
-                continue
-            for row in read_columns(directory, ["stream", "file", "first_seq", "next_seq", "records"]):
-                stream, end = row["stream"], row["next_seq"]
-                file = f"{name}/stream={escape(stream)}/{row['file']}"
-                entry = (row["first_seq"], end, row["records"], file)
-                self.files.setdefault(stream, []).append(entry)
-                self.tails[stream] = max(end, self.tails.get(stream, 0))
-            self.seen.add(name)
+        """Read the folds, the first time, and the files of the appends published since."""
+        if self.commit is None:
+            self._open_folds()
+        while True:
+            system, path = open_path(commit_path(self.basin, self.commit + 1))
+            if not system.get_file_info(path).is_file:
+                return
+            append_id = system.open_input_file(path).read().decode()
+            columns = ["stream", "file", "place", "records", "origin", "append_ts"]
+            rows = read_columns(append_path(files_path(self.basin), append_id), columns)
+            for row in sorted(rows, key=lambda r: (r["stream"], r["place"])):
+                first = self.tails.get(row["stream"], row["origin"])
+                self._add(row, append_id, first, first + row["records"])
+            self.commit += 1
+
+    def _open_folds(self) -> None:
+        system, root = open_path(folds_path(self.basin))
+        names = [directory.rsplit("/", 1)[-1] for directory in child_directories(folds_path(self.basin))]
+        done = lambda name: system.get_file_info(f"{root}/{name}/tails/_SUCCESS").is_file
+        chain = fold_chain(names, done)
+        columns = ["stream", "file", "append_id", "first_seq", "next_seq", "append_ts"]
+        for name in reversed(chain):
+            for row in read_columns(f"{folds_path(self.basin)}/{name}/positions", columns):
+                self._add(row, row["append_id"], row["first_seq"], row["next_seq"])
+        self.commit = int(chain[0].split("-")[1]) - 1 if chain else -1
+
+    def _add(self, row: dict, append_id: str, first: int, end: int) -> None:
+        stream = row["stream"]
+        file = f"{append_path(records_path(self.basin), append_id)}/stream={escape(stream)}/{row['file']}"
+        stamp = row["append_ts"].replace(tzinfo=timezone.utc) - EPOCH
+        self.files.setdefault(stream, []).append((first, end, file, stamp // timedelta(microseconds=1)))
+        self.tails[stream] = max(end, self.tails.get(stream, 0))
 
     def declared(self) -> dict[str, dict]:
         """Newest declaration per stream; a stream known from appends alone starts at 0."""
-        newest: dict[str, dict] = {
-            s: {"version": None, "first_seq": 0, "deleted": False} for s in self.tails
-        }
-        columns = ["stream", "deleted_at", "first_seq", "version"]
-        for row in read_columns(streams_path(self.basin), columns):
-            current = newest.get(row["stream"])
-            if current is None or current["version"] is None or current["version"] <= row["version"]:
-                newest[row["stream"]] = {
-                    "version": row["version"],
-                    "first_seq": row["first_seq"],
-                    "deleted": row["deleted_at"] is not None,
-                }
-        return newest
+        from pyarrow import fs
+
+        system, root = open_path(streams_path(self.basin))
+        for info in system.get_file_info(fs.FileSelector(root)):
+            if not info.path.endswith(".parquet") or info.path in self.read_declarations:
+                continue
+            self.read_declarations.add(info.path)
+            for row in read_file(system, info.path, ["stream", "deleted_at", "first_seq", "version"]):
+                current = self.newest.get(row["stream"])
+                if current is None or current["version"] <= row["version"]:
+                    self.newest[row["stream"]] = {
+                        "version": row["version"],
+                        "first_seq": row["first_seq"],
+                        "deleted": row["deleted_at"] is not None,
+                    }
+        known = {s: {"version": None, "first_seq": 0, "deleted": False} for s in self.tails}
+        return known | self.newest
 
     def forget(self, offsets: dict[str, int]) -> None:
         for stream, position in offsets.items():
             self.files[stream] = [f for f in self.files.get(stream, []) if f[1] > position]
 
     def plan(self, stream: str, start: int, end: int, size: int) -> list[SeqRange]:
-        """Ranges of at most about `size` records covering [start, end), each inside one file."""
+        """Ranges of at most `size` records covering [start, end), each inside one file."""
         planned = []
-        for first, after, records, file in self.files.get(stream, []):
+        for first, after, file, stamp in self.files.get(stream, []):
             low, high = max(first, start), min(after, end)
-            path = f"{records_path(self.basin)}/{file}"
-            step = max(1, (after - first) * size // max(records, 1))
             planned += [
-                SeqRange(stream, path, at, min(at + step, high)) for at in range(low, high, step)
+                SeqRange(stream, file, first, at, min(at + size, high), stamp) for at in range(low, high, size)
             ]
         return planned
 
 
 def read_range(partition: SeqRange):
-    """Arrow batches of one range; row-group statistics skip what lies outside."""
+    """Arrow batches of one range; row groups that lie outside are not read."""
     import pyarrow as pa
-    import pyarrow.dataset as ds
+    import pyarrow.parquet as pq
 
     header = pa.struct([("name", pa.binary()), ("value", pa.binary())])
-    schema = pa.schema(
-        [
-            ("stream", pa.string()),
-            ("seq_num", pa.int64()),
-            ("headers", pa.list_(header)),
-            ("body", pa.binary()),
-            ("append_ts", pa.timestamp("us", tz="UTC")),
-        ]
-    )
-    system, root = open_path(partition.file)
-    dataset = ds.dataset(root, filesystem=system, format="parquet")
-    at = ds.field("seq_num")
-    wanted = (at >= partition.first) & (at < partition.next)
-    stored = ["seq_num", "headers", "body", "append_ts"]
-    for batch in dataset.to_batches(columns=stored, filter=wanted):
-        if batch.num_rows:
-            names = pa.repeat(pa.scalar(partition.stream, pa.string()), batch.num_rows)
-            columns = [names]
-            for name in stored:
-                columns.append(batch.column(name).cast(schema.field(name).type))
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+    stamp = pa.scalar(partition.stamp, pa.timestamp("us", tz="UTC"))
+    system, path = open_path(partition.file)
+    with system.open_input_file(path) as source:
+        file, begin = pq.ParquetFile(source), partition.base
+        for group in range(file.num_row_groups):
+            end = begin + file.metadata.row_group(group).num_rows
+            if end > partition.first and begin < partition.next:
+                for batch in file.iter_batches(row_groups=[group], columns=["headers", "body"]):
+                    low = max(0, partition.first - begin)
+                    part = batch.slice(low, max(0, min(batch.num_rows, partition.next - begin) - low))
+                    n, at = part.num_rows, begin + low
+                    begin += batch.num_rows
+                    if n:
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.repeat(pa.scalar(partition.stream, pa.string()), n),
+                                pa.array(range(at, at + n), pa.int64()),
+                                part.column("headers").cast(pa.list_(header)),
+                                part.column("body").cast(pa.binary()),
+                                pa.repeat(stamp, n),
+                            ],
+                            names=["stream", "seq_num", "headers", "body", "append_ts"],
+                        )
+            begin = end
 
 
 class SeqLogStreamReader(DataSourceStreamReader):
@@ -285,7 +333,7 @@ class SeqLogBatchReader(DataSourceReader):
                 begin = max(declared.get(stream, {}).get("first_seq", 0), self.low)
             stop = tail if self.high is None else min(tail, self.high)
             planned += reader.index.plan(stream, begin, stop, self.options.records_per_partition)
-        return planned or [SeqRange("", "", 0, 0)]
+        return planned or [SeqRange("", "", 0, 0, 0, 0)]
 
     def read(self, partition: SeqRange):
         return read_range(partition) if partition.next > partition.first else iter(())

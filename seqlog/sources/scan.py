@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqlog.functions.records import LOG_SCHEMA, metered_bytes
-from seqlog.plans.staging import SMALL_SIDE_ROWS, join_counted, join_side
-from seqlog.sources.basin import check_tail, list_streams, live_streams, positions, record_files
+from seqlog.plans.staging import join_side
+from seqlog.sources.basin import check_tail, list_streams, live_streams, located, positions, record_files, records
 from seqlog.sources.options import NEXT, SourceOptions
 
 
@@ -15,34 +15,20 @@ def scan(
     """Records of the selected streams from their start positions, as LOG_SCHEMA.
 
     The files to read come from `positions`, by stream and start: a file that ends before the start is
-    never opened, however many there are, and unfinished appends are never seen. `resume` holds
+    never opened, however many there are, and unpublished appends are never seen. `resume` holds
     (stream, next_seq); a stream in it starts there whatever the start behaviour, others start by
     `start_behavior`. The driver holds one entry per file, as Spark's own file listing does.
     """
     starts = start_positions(spark, options, resume).select("stream", "_start")
     files = positions(spark, options.basin).where(_selected(options))
-    wanted = files.join(starts, "stream").where("next_seq > _start")
-    found = wanted.select("append_id", "stream", "file", "first_seq", "_start").collect()
-    rows = record_files(spark, options.basin, found).where(_selected(options))
-    if all(f.first_seq >= f["_start"] for f in found):  # no file is cut by a start
-        return rows.select(*LOG_SCHEMA.names)
-    rows = rows.where(F.col("seq_num") >= F.lit(min(f["_start"] for f in found)))
-    placed = join_counted(
-        rows,
-        wanted.select("stream", "_start").distinct(),
-        ["stream"],
-        "inner",
-        spread=F.col("seq_num"),
-        small=len({f.stream for f in found}) <= SMALL_SIDE_ROWS,
-    )
-    return placed.where(F.col("seq_num") >= F.col("_start")).select(*LOG_SCHEMA.names)
+    found = located(files.join(starts, "stream").where("next_seq > _start"), "_start")
+    begin = {f.stream: f["_start"] for f in found}
+    return record_files(spark, options.basin, found, begin).where(_selected(options)).select(*LOG_SCHEMA.names)
 
 
 def finished_records(spark: SparkSession, basin: str) -> DataFrame:
-    """Records of every finished append, deleted and trimmed streams included."""
-    return record_files(
-        spark, basin, positions(spark, basin).select("append_id", "stream", "file").collect()
-    )
+    """Records of every published append, deleted and trimmed streams included."""
+    return records(spark, basin)
 
 
 def _selected(options: SourceOptions) -> Column:

@@ -9,18 +9,21 @@ from seqlog.functions.records import STREAMS_SCHEMA, no_headers
 from seqlog.plans.staging import join_side, path_exists, scratch_path, shared_root
 from seqlog.plans.tables import UPSERT, LogTable, Tables
 from seqlog.sinks import append
-from seqlog.sinks.append import append_to_stream, append_to_streams, expire_tails, write_upserts
+from seqlog.sinks.append import append_to_stream, append_to_streams, write_upserts
+from seqlog.sources import basin as basins
 from seqlog.sources.basin import (
     append_path,
     check_tail,
+    commit_path,
     create_basin,
     list_streams,
     live_streams,
     new_streams,
+    newest_fold,
     positions,
-    positions_path,
+    publish,
+    published_path,
     records,
-    snapshots,
 )
 from seqlog.sources.datasource import escape, register
 from seqlog.sources.options import REFUSED, SourceOptions
@@ -80,32 +83,62 @@ def test_appends_continue_the_tail_and_repeat_nothing(spark, basin):
     assert pairs(check_tail(spark, basin), "stream", "next_seq") == [("a", 4), ("b", 1)]
 
 
+def remove(spark, path):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def test_a_broken_append_is_replaced(spark, basin):
-    """Records without positions are what a crash between the two writes leaves."""
+    """Records and files without a commit are what a crash before the publication leaves."""
     append_lines(spark, basin, [("a", "0")], batch_id=0)
     append_lines(spark, basin, [("a", "1"), ("a", "2")], batch_id=1)
-    marker = append_path(positions_path(basin), "test-000000000001")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(marker)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    remove(spark, commit_path(basin, 1))
+    remove(spark, published_path(basin, "test-000000000001"))
     source = SourceOptions(basin, ("a",))
     assert texts(scan(spark, source)) == [("a", 0, "0")]
     append_lines(spark, basin, [("a", "1"), ("a", "2")], batch_id=1)
     assert texts(scan(spark, source)) == [("a", 0, "0"), ("a", 1, "1"), ("a", 2, "2")]
 
 
-def test_tails_are_carried_forward(spark, basin):
-    """A writer's newest snapshots suffice: they know streams its last appends did not touch."""
+def test_a_published_append_that_was_not_noted_is_not_repeated(spark, basin, monkeypatch):
+    monkeypatch.setattr(append, "FOLD_EVERY", 2)
+    for i in range(3):
+        append_lines(spark, basin, [("a", str(i))], batch_id=i)
+    for i in (0, 2):  # one that is folded, one that is not
+        remove(spark, published_path(basin, f"test-{i:012d}"))
+        append_lines(spark, basin, [("a", str(i))], batch_id=i)
+    assert [(s, t) for _, s, t in texts(records(spark, basin))] == [(0, "0"), (1, "1"), (2, "2")]
+
+
+def test_folds_carry_positions_and_tails(spark, basin, monkeypatch):
+    """Readers work out the positions of the commits since the last fold only."""
+    monkeypatch.setattr(append, "FOLD_EVERY", 3)
+    declare(spark, basin, ("late", False, 40))
     for i in range(7):
-        append_lines(spark, basin, [("a" if i else "b", str(i))], writer="one")
-    assert len(snapshots(spark, basin, "one")) == 7
-    expire_tails(spark, basin, "one", 4)
-    append_lines(spark, basin, [("c", "0")], writer="two")
-    tails = dict(pairs(check_tail(spark, basin), "stream", "next_seq"))
-    assert tails == {"a": 6, "b": 1, "c": 1}
-    assert snapshots(spark, basin, "one") == [6, 5, 4, 3]
-    assert pairs(list_streams(spark, basin), "stream") == [("a",), ("b",), ("c",)]
+        append_lines(spark, basin, [("a" if i else "b", str(i))], writer="one", batch_id=i)
+    append_lines(spark, basin, [("c", "0"), ("late", "0"), ("late", "1")], writer="two")
+    last = newest_fold(spark, basin)
+    assert last.upto == 5 and len(last.positions) == 2
+    tails = {"a": 6, "b": 1, "c": 1, "late": 42}
+    assert dict(pairs(check_tail(spark, basin), "stream", "next_seq")) == tails
+    expected = [("a", i, str(i + 1)) for i in range(6)] + [("b", 0, "0"), ("c", 0, "0"), ("late", 40, "0"), ("late", 41, "1")]
+    assert texts(records(spark, basin)) == expected
+    opened = []
+    read = basins.read_text
+    monkeypatch.setattr(basins, "read_text", lambda spark, path: opened.append(path) or read(spark, path))
+    positions(spark, basin)
+    assert len(opened) == 3  # commits 6 and 7, and that there is no 8
     earlier = check_tail(spark, basin, F.col("append_id") <= "one-000000000002")
-    assert dict(pairs(earlier, "stream", "next_seq")) == {"a": 2, "b": 1, "c": 0}
+    assert dict(pairs(earlier, "stream", "next_seq")) == {"a": 2, "b": 1, "c": 0, "late": 40}
+    # A fold that was broken off does not count; the next one covers its commits, too.
+    remove(spark, f"{last.tails}/_SUCCESS")
+    assert newest_fold(spark, basin).upto == 2 and texts(records(spark, basin)) == expected
+    append_lines(spark, basin, [("c", "1")])
+    assert newest_fold(spark, basin).upto == 8
+    assert texts(records(spark, basin)) == sorted([*expected, ("c", 1, "1")])
+    register(spark)
+    read = spark.read.format("seqlog").option("basin", basin).option("discoveryPrefix", "").load()
+    assert texts(read) == sorted([*expected, ("c", 1, "1")])
     with pytest.raises(ValueError, match="writer"):
         append_lines(spark, basin, [("a", "x")], writer="a/b")
 
@@ -135,7 +168,7 @@ def test_record_limits(spark, basin):
     big = spark.sql("SELECT CAST(repeat('x', 101) AS BINARY) AS body").withColumn("headers", no_headers())
     with pytest.raises(Exception, match="over the size limit"):
         append_to_stream(big, basin, "s", max_record_bytes=100)
-    assert not path_exists(spark, append_path(positions_path(basin), "batch-000000000000"))
+    assert not path_exists(spark, commit_path(basin, 0))
     with pytest.raises(Exception, match="without a stream"):
         append_to_streams(big, basin, F.lit(None).cast("string"))
     for limit in (0, 1024 * 1024 + 1):
@@ -229,30 +262,36 @@ def test_a_scan_opens_only_the_files_it_needs(spark, basin):
 @pytest.mark.parametrize("writers", [("batch", "batch"), ("one", "two")])
 def test_two_writers_never_share_positions(spark, basin, writers):
     def run(writer):
-        for i in range(2):
-            append_lines(spark, basin, [("a", f"{writer}{i}") for _ in range(5)], writer=writer)
+        for i in range(4):
+            append_lines(spark, basin, [("a", f"{writer}{i}{k}") for k in range(5)], writer=writer)
 
     with ThreadPoolExecutor(2) as pool:
-        raised = [f.exception() for f in [pool.submit(run, w) for w in writers]]
+        for done in [pool.submit(run, w) for w in writers]:
+            done.result()
     got = [(s, t) for _, s, t in texts(scan(spark, SourceOptions(basin, ("a",))))]
-    seqs = [s for s, _ in got]
-    if any(raised):  # both published at once: never silently
-        assert all(isinstance(e, RuntimeError) for e in raised if e)
-    else:
-        assert seqs == list(range(20))
+    assert [s for s, _ in got] == list(range(40))
+    assert sorted(t for _, t in got) == sorted(f"{w}{i}{k}" for w in writers for i in range(4) for k in range(5))
+    # Each append's records stay together and in order.
+    assert all(got[i][1][-1] == str(i % 5) for i in range(40))
+
+
+def test_one_of_many_gets_a_commit(spark, basin):
+    with ThreadPoolExecutor(16) as pool:
+        numbers = list(pool.map(lambda i: publish(spark, basin, f"x-{i}"), range(48)))
+    assert sorted(numbers) == list(range(48))
 
 
-def test_an_append_that_was_overtaken_is_numbered_again(spark, basin, monkeypatch):
+def test_an_append_published_meanwhile_comes_first(spark, basin, monkeypatch):
     append_lines(spark, basin, [("a", "0")])
-    carry, raced = append._carry_tails_forward, []
+    raced = []
 
-    def overtaken(ends, *where):
-        carry(ends, *where)
+    def overtaken(session, where, append_id):
         if not raced:
             raced.append(True)
             append_lines(spark, basin, [("a", "first")], writer="other")
+        return publish(session, where, append_id)
 
-    monkeypatch.setattr(append, "_carry_tails_forward", overtaken)
+    monkeypatch.setattr(append, "publish", overtaken)
     append_lines(spark, basin, [("a", "second"), ("b", "0")])
     rows = texts(scan(spark, SourceOptions(basin, discovery_prefix="")))
     assert rows == [("a", 0, "0"), ("a", 1, "first"), ("a", 2, "second"), ("b", 0, "0")]
@@ -260,6 +299,15 @@ def test_an_append_that_was_overtaken_is_numbered_again(spark, basin, monkeypatc
     assert pairs(check_tail(spark, basin), "stream", "next_seq") == [("a", 4), ("b", 1)]
 
 
+def test_files_are_in_order_however_a_task_cuts_them(spark, basin, monkeypatch):
+    monkeypatch.setattr(append, "MAX_FILE_RECORDS", 3)
+    lines = [("a", f"{i:04d}") for i in range(500)]
+    append_lines(spark, basin, lines)
+    assert texts(records(spark, basin)) == [("a", i, t) for i, (_, t) in enumerate(lines)]
+    resume = spark.createDataFrame([("a", 77)], "stream string, next_seq bigint")
+    assert [s for _, s, _ in texts(scan(spark, SourceOptions(basin, ("a",)), resume))] == list(range(77, 500))
+
+
 def test_an_empty_stream_name_is_refused(spark, basin):
     with pytest.raises(Exception, match="record without a stream"):
         append_lines(spark, basin, [("", "x"), ("a", "y")])
