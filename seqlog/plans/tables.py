@@ -5,11 +5,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from seqlog.functions.codec import body_text, decode_text, encode_json, json_decode
-from seqlog.operators.changelog import assert_insert_only, split_key_value, upsert_decode
-from seqlog.sinks.append import append_to_stream, write_upserts
-from seqlog.sources.datasource import read_stream
+from seqlog.functions.records import no_headers
+from seqlog.operators.changelog import assert_insert_only, split_key_value, upsert_decode, upsert_encode
+from seqlog.operators.numbering import ordered
+from seqlog.sinks.append import last_changes
+from seqlog.sources.basin import fold_due
+from seqlog.sources.datasource import read_stream, register
 from seqlog.sources.options import SourceOptions
 from seqlog.sources.scan import scan
 
@@ -70,27 +74,56 @@ class LogTable:
     def read_stream(self, spark: SparkSession) -> DataFrame:
         return self.decode(read_stream(spark, self.source()))
 
-    def write(self, df: DataFrame, order_by: list = (), **options) -> str:
-        """Append the rows of `df`, matched to the declared columns by name."""
-        if not self.stream:
-            raise ValueError("writing needs a stream")
-        basin = self.source().basin
+    def encode(self, df: DataFrame, order_by: list = ()) -> DataFrame:
+        """`df`, its columns matched to the declared ones by name, as records: what the source's format writes.
+
+        Batch frames come in the order of `order_by`; changes are reduced to the last one per key.
+        """
+        names = [f"_by{i}" for i in range(len(order_by))]
+        order = [(F.col(c) if isinstance(c, str) else c).alias(n) for c, n in zip(order_by, names)]
         if self.connector == UPSERT:
-            return write_upserts(
-                df, basin, self.stream, list(self.keys), self.schema.names, KIND, order_by, **options
-            )
-        if KIND in df.columns:
-            df = assert_insert_only(df, KIND)
-        order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-        names = [f"_by{i}" for i in range(len(order))]
-        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        rows = df.select(*typed, *[c.alias(n) for c, n in zip(order, names)])
-        if self.format == "json":
-            encoded = encode_json(rows, self.schema.names, keep=names)
+            typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+            rows = df.select(*typed, KIND, *order) if KIND in df.columns else df.select(*typed, *order)
+            if df.isStreaming:
+                return upsert_encode(rows, list(self.keys), self.schema.names, KIND)
+            records = last_changes(rows, list(self.keys), self.schema.names, KIND, names)
+            names = ["_place"]
         else:
-            body = F.col(self.schema.names[0]).cast("binary").alias("body")
-            encoded = rows.select(*names, F.array().alias("headers"), body)
-        return append_to_stream(encoded, basin, self.stream, order_by=names, **options)
+            if KIND in df.columns:
+                df = assert_insert_only(df, KIND)
+            typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+            rows = df.select(*typed, *order)
+            if self.format == "json":
+                records = encode_json(rows, self.schema.names, keep=names)
+            else:
+                body = F.col(self.schema.names[0]).cast("binary").alias("body")
+                records = rows.select(*names, no_headers().alias("headers"), body)
+        if names and not df.isStreaming:
+            records = ordered(records, [], names)
+        return records.select("headers", "body")
+
+    def write(self, df: DataFrame, order_by: list = ()) -> None:
+        """Append the rows of `df` through `format("seqlog")`."""
+        basin = self._sink()
+        register(df.sparkSession)
+        writer = self.encode(df, order_by).write.format("seqlog").mode("append")
+        writer.option("basin", basin).option("stream", self.stream).save()
+        fold_due(df.sparkSession, basin)
+
+    def write_stream(self, df: DataFrame, writer: str) -> DataStreamWriter:
+        """A streaming insert, to be started; each micro-batch is an append. `writer` names the checkpoint's appends.
+
+        Changes are all appended, as a stream of records has no last one per key.
+        """
+        basin = self._sink()
+        register(df.sparkSession)
+        sink = self.encode(df).writeStream.format("seqlog").option("basin", basin).option("stream", self.stream)
+        return sink.option("writer", writer)
+
+    def _sink(self) -> str:
+        if not self.stream:
+            raise ValueError("writing needs a stream")
+        return self.source().basin
 
 
 class Tables:
@@ -112,12 +145,11 @@ class Tables:
         """Point the view at the tails of now."""
         self.tables[name].read(self.spark).createOrReplaceTempView(name)
 
-    def insert_into(self, name: str, query: str | DataFrame, order_by: list = (), **options) -> str:
+    def insert_into(self, name: str, query: str | DataFrame, order_by: list = ()) -> None:
         """INSERT INTO: append the rows of a query or frame to the table's stream."""
         rows = self.spark.sql(query) if isinstance(query, str) else query
-        append = self.tables[name].write(rows, order_by, **options)
+        self.tables[name].write(rows, order_by)
         self.refresh(name)
-        return append
 
 
 def raw_text_view(log: DataFrame, name: str) -> None:

@@ -109,7 +109,7 @@ def _list_files(df: DataFrame, basin: str, append_id: str, target: str) -> None:
     # Files are named by task, and by number within a task that cut its share.
     part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("bigint")
     cut = F.regexp_extract("file", r"\.c(\d+)\.", 1).cast("bigint")
-    files = found.withColumn("place", part * 1_000_000 + cut)
+    files = found.withColumn("place", part * 1_000_000 + cut).withColumn("folder", F.lit(append_id))
     if any(child.endswith(".parquet") for child in child_names(spark, streams_path(basin))):
         begins = declared_streams(spark, basin).groupBy("stream").agg(F.max_by("first_seq", "version").alias("origin"))
         files = files.join(begins, "stream", "left")
@@ -144,12 +144,19 @@ def write_upserts(
     """
     order = list(order_by)
     declared = columns or [c for c in df.columns if c != kind and c not in order]
+    last = last_changes(df, keys, declared, kind, order)
+    return append_to_stream(last, basin, stream, order_by=["_place"], **options)
+
+
+def last_changes(
+    df: DataFrame, keys: list[str], columns: list[str], kind: str = "_kind", order: list[str] = ()
+) -> DataFrame:
+    """Changes as records, the last one per key, with their `_place` in `order` or else in order of arrival."""
     if not order:
         df, order = df.withColumn("_arrival", F.monotonically_increasing_id()), ["_arrival"]
     place_of = df.withColumn("_place", F.struct(*order))
-    encoded = upsert_encode(place_of, keys, declared, kind, keep=["_place"])
-    last = compact_upserts(encoded, order="_place")
-    return append_to_stream(last, basin, stream, order_by=["_place"], **options)
+    encoded = upsert_encode(place_of, keys, columns, kind, keep=["_place"])
+    return compact_upserts(encoded, order="_place")
 
 
 def append_sink(

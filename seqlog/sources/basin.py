@@ -31,10 +31,12 @@ RECORDS_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("append_id", T.
 STORED_SCHEMA = T.StructType(
     [T.StructField("headers", T.ArrayType(HEADER_TYPE)), T.StructField("body", T.BinaryType())]
 )
-#: Files of one append: `place` orders those of a stream, `origin` is where the stream begins if they are its first.
+#: Files of one append: `folder` of the records holds them, `place` orders those of a stream, `origin` is where the
+#: stream begins if they are its first.
 FILES_SCHEMA = T.StructType(
     [
         T.StructField("stream", T.StringType()),
+        T.StructField("folder", T.StringType()),
         T.StructField("file", T.StringType()),
         T.StructField("place", T.LongType()),
         T.StructField("records", T.LongType()),
@@ -47,6 +49,7 @@ POSITIONS_SCHEMA = T.StructType(
         T.StructField("stream", T.StringType()),
         T.StructField("append_id", T.StringType()),
         T.StructField("commit", T.LongType()),
+        T.StructField("folder", T.StringType()),
         T.StructField("file", T.StringType()),
         T.StructField("first_seq", T.LongType()),
         T.StructField("next_seq", T.LongType()),
@@ -123,10 +126,10 @@ def published_appends(
     """(commit, append) above a commit number. Numbers have no gaps, so no folder is listed."""
     found, number = [], after + 1
     while upto is None or number <= upto:
-        append_id = read_text(spark, commit_path(basin, number))
-        if append_id is None:
+        text = read_text(spark, commit_path(basin, number))
+        if text is None:
             break
-        found.append((number, append_id))
+        found.append((number, text.split("\n")[0]))
         number += 1
     return found
 
@@ -181,6 +184,13 @@ def fold(spark: SparkSession, basin: str, upto: int) -> None:
     _tails(spark, last, written).write.mode("overwrite").parquet(f"{path}/tails")
 
 
+def fold_due(spark: SparkSession, basin: str) -> None:
+    """Fold if FOLD_EVERY commits have come since the last one: for appends that no Spark job follows."""
+    last = newest_fold(spark, basin).upto
+    if read_text(spark, commit_path(basin, last + FOLD_EVERY)) is not None:
+        fold(spark, basin, last + FOLD_EVERY)
+
+
 def positions(spark: SparkSession, basin: str) -> DataFrame:
     """One row per published record file: its stream, append, commit and positions."""
     last = newest_fold(spark, basin)
@@ -237,7 +247,7 @@ def records(spark: SparkSession, basin: str) -> DataFrame:
 def located(files: DataFrame, *more: str) -> list:
     """Rows of `positions` as record_files takes them."""
     stamp = F.unix_micros("append_ts").alias("stamp")
-    return files.select("append_id", "stream", "file", "first_seq", "next_seq", stamp, *more).collect()
+    return files.select("append_id", "stream", "folder", "file", "first_seq", "next_seq", stamp, *more).collect()
 
 
 def record_files(spark: SparkSession, basin: str, files: list, starts: dict[str, int] | None = None) -> DataFrame:
@@ -245,16 +255,17 @@ def record_files(spark: SparkSession, basin: str, files: list, starts: dict[str,
     if not files:
         return spark.createDataFrame([], RECORDS_SCHEMA)
     root = records_path(basin)
-    paths = [f"{append_path(root, f.append_id)}/stream={escape(f.stream)}/{f.file}" for f in files]
+    paths = [f"{append_path(root, f.folder)}/stream={escape(f.stream)}/{f.file}" for f in files]
     schema = T.StructType(
         [*STORED_SCHEMA.fields, T.StructField("append_id", T.StringType()), T.StructField("stream", T.StringType())]
     )
-    stored = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+    stored = spark.read.schema(schema).option("basePath", root).parquet(*paths).drop("append_id")
     rows = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
     bases = pa.table(
         {
             "stream": [f.stream for f in files],
             "_file": [f.file for f in files],
+            "append_id": [f.append_id for f in files],
             "_first": pa.array([f.first_seq for f in files], pa.int64()),
             "_skip": pa.array([max(0, (starts or {}).get(f.stream, 0) - f.first_seq) for f in files], pa.int64()),
             "_stamp": pa.array([f.stamp for f in files], pa.int64()),

@@ -102,12 +102,12 @@ class LogIndex:
             system, path = open_path(commit_path(self.basin, self.commit + 1))
             if not system.get_file_info(path).is_file:
                 return
-            append_id = system.open_input_file(path).read().decode()
-            columns = ["stream", "file", "place", "records", "origin", "append_ts"]
+            append_id = system.open_input_file(path).read().decode().split("\n")[0]
+            columns = ["stream", "folder", "file", "place", "records", "origin", "append_ts"]
             rows = read_columns(append_path(files_path(self.basin), append_id), columns)
             for row in sorted(rows, key=lambda r: (r["stream"], r["place"])):
                 first = self.tails.get(row["stream"], row["origin"])
-                self._add(row, append_id, first, first + row["records"])
+                self._add(row, first, first + row["records"])
             self.commit += 1
 
     def _open_folds(self) -> None:
@@ -115,15 +115,15 @@ class LogIndex:
         names = [directory.rsplit("/", 1)[-1] for directory in child_directories(folds_path(self.basin))]
         done = lambda name: system.get_file_info(f"{root}/{name}/tails/_SUCCESS").is_file
         chain = fold_chain(names, done)
-        columns = ["stream", "file", "append_id", "first_seq", "next_seq", "append_ts"]
+        columns = ["stream", "folder", "file", "first_seq", "next_seq", "append_ts"]
         for name in reversed(chain):
             for row in read_columns(f"{folds_path(self.basin)}/{name}/positions", columns):
-                self._add(row, row["append_id"], row["first_seq"], row["next_seq"])
+                self._add(row, row["first_seq"], row["next_seq"])
         self.commit = int(chain[0].split("-")[1]) - 1 if chain else -1
 
-    def _add(self, row: dict, append_id: str, first: int, end: int) -> None:
+    def _add(self, row: dict, first: int, end: int) -> None:
         stream = row["stream"]
-        file = f"{append_path(records_path(self.basin), append_id)}/stream={escape(stream)}/{row['file']}"
+        file = f"{append_path(records_path(self.basin), row['folder'])}/stream={escape(stream)}/{row['file']}"
         stamp = row["append_ts"].replace(tzinfo=timezone.utc) - EPOCH
         self.files.setdefault(stream, []).append((first, end, file, stamp // timedelta(microseconds=1)))
         self.tails[stream] = max(end, self.tails.get(stream, 0))
@@ -353,6 +353,20 @@ class SeqLogDataSource(DataSource):
     def streamReader(self, schema) -> DataSourceStreamReader:
         return SeqLogStreamReader(SourceOptions.parse(dict(self.options)))
 
+    def writer(self, schema, overwrite: bool):
+        from seqlog.sinks.writer import SeqLogWriter, SinkOptions
+
+        if overwrite:
+            raise ValueError("a log is appended to, never overwritten")
+        return SeqLogWriter(SinkOptions.parse(dict(self.options), schema, streaming=False))
+
+    def streamWriter(self, schema, overwrite: bool):
+        from seqlog.sinks.writer import SeqLogStreamWriter, SinkOptions
+
+        if overwrite:
+            raise ValueError("a log is appended to, never overwritten: use output mode append")
+        return SeqLogStreamWriter(SinkOptions.parse(dict(self.options), schema, streaming=True))
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(SeqLogDataSource)

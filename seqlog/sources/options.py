@@ -33,6 +33,10 @@ KNOWN = {
     "recordsperpartition",
     "failondataloss",
     "availablenow",
+    # Of the sink; the source reads the stream that a table is written to where it names no other.
+    "stream",
+    "writer",
+    "maxrecordbytes",
 }
 
 
@@ -84,6 +88,11 @@ class SourceOptions:
             if name not in KNOWN:
                 raise ValueError(f"unknown option {name}")
 
+        named = given.get("streams", "")
+        if not named and given.get("discoveryprefix") is None:
+            named = given.get("stream") or ""
+        streams = tuple(s.strip() for s in named.split(","))
+
         def number(name):
             return int(given[name]) if given.get(name) else None
 
@@ -92,7 +101,7 @@ class SourceOptions:
 
         return cls(
             basin=given.get("basin") or given.get("path") or "",
-            streams=tuple(s.strip() for s in given.get("streams", "").split(",")),
+            streams=streams,
             discovery_prefix=given.get("discoveryprefix"),
             discovery_interval_ms=number("discoveryintervalms"),
             start_behavior=given.get("startbehavior", FIRST).upper(),
