@@ -219,7 +219,8 @@ ORACLE: dict[str, str] = {
         placed AS (SELECT * REPLACE (row_number() OVER (ORDER BY seq_num) - 1 AS seq_num) FROM last)
         {DECODED.format(keep='seq_num,', source='placed')}""",
     "sql_insert_append": f"SELECT {ORDER_COLUMNS} FROM orders",
-    "sql_scan_insert_only": f"WITH {CHANGES} SELECT seq_num, status FROM changes WHERE flag = 'u'",
+    "sql_scan_insert_only": """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS seq_num, o_orderkey, o_orderstatus
+        FROM orders""",
     "sql_insert_upsert": f"""WITH {CHANGES},
         last AS ({LAST_CHANGE.format(group='o_orderkey % 2, custkey')})
         {DECODED.format(keep='', source='last')}""",

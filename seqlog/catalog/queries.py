@@ -388,16 +388,21 @@ def sql_insert_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_scan_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain SQL over the registered source."""
+    """Plain SQL over the registered source: a log of inserts, written by SQL and scanned whole."""
     register(configure(spark))
-    basin = inputs.change_basin(spark, sf_dir)
+    basin = inputs.scratch_basin(spark, "inserts")
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY VIEW change_records USING seqlog "
-        f"OPTIONS (basin '{basin}', streams '{inputs.CHANGE_STREAM}')"
+        "CREATE OR REPLACE TEMPORARY VIEW order_records USING seqlog "
+        f"OPTIONS (basin '{basin}', stream '{inputs.ORDER_STREAM}')"
+    )
+    inputs.order_rows(spark, sf_dir).createOrReplaceTempView("orders_input")
+    spark.sql(
+        "INSERT INTO order_records (body) SELECT CAST(to_json(struct(o_orderkey, o_orderstatus)) AS BINARY)"
+        " FROM orders_input ORDER BY o_orderkey"
     )
     return spark.sql(
-        "SELECT seq_num, from_json(CAST(body AS STRING), 'status STRING, pri STRING').status"
-        " AS status FROM change_records WHERE octet_length(body) > 0"
+        "SELECT seq_num, r.o_orderkey, r.o_orderstatus FROM (SELECT seq_num,"
+        " from_json(CAST(body AS STRING), 'o_orderkey BIGINT, o_orderstatus STRING') AS r FROM order_records)"
     )
 
 
