@@ -132,7 +132,7 @@ def text_value(text: str, lexicon: Lexicon) -> float:
         symbols = [lexicon[word] for word in WORD.findall(clause)]
         if any(s in (INSULT, THREAT) for s, _ in symbols):
             values.append(clause_value(symbols))
-    return sum(v / 2**i for i, v in enumerate(sorted(values, reverse=True)[:40]))
+    return sum(math.ldexp(v, -i) for i, v in enumerate(sorted(values, reverse=True)))
 
 
 def _entries_of(text: str) -> tuple[int, list[str]]:
