@@ -12,7 +12,6 @@ from seqlog.sinks import append
 from seqlog.sinks.append import append_to_stream, append_to_streams, write_upserts
 from seqlog.sources import basin as basins
 from seqlog.sources.basin import (
-    append_path,
     check_tail,
     commit_path,
     create_basin,
