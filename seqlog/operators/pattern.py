@@ -57,34 +57,42 @@ def whole_steps(column: str, width: int) -> Column:
     return F.expr(f"(`{column}` - pmod(`{column}`, {width}L)) DIV {width}L")
 
 
-def bucketed(events: DataFrame, sequence: Sequence, keys: list[str], time_ms: str, ties: list[str]):
-    """Cut every key into time buckets that can be matched independently.
+def sequence_inputs(sequence: Sequence) -> list[str]:
+    return list(dict.fromkeys(column for _, column in sequence.measures.values()))
+
+
+def flagged(
+    events: DataFrame, sequence: Sequence, keys: list[str], time_ms: str, ties: list[str]
+) -> DataFrame:
+    """What matching needs of a row: keys, time, ties, one bit per step, measured and equal values."""
+    return events.select(
+        *keys,
+        F.col(time_ms).cast("bigint").alias("_ms"),
+        *[F.col(t).alias(f"_tie{i}") for i, t in enumerate(ties)],
+        step_flags(sequence).alias("_flags"),
+        *[F.col(c).alias(f"_in{i}") for i, c in enumerate(sequence_inputs(sequence))],
+        *[F.expr(e).alias(f"_same{i}") for i, e in enumerate(sequence.same)],
+    )
+
+
+def bucketed(rows: DataFrame, sequence: Sequence) -> DataFrame:
+    """Cut every key of flagged rows into time buckets that can be matched independently.
 
     A row belongs to its own bucket, and a row in the first `within_ms` of a bucket also to the one
     before, as look-ahead. A match is reported in the bucket of its first row (`_home`): all rows up
     to the bound are there, so the result is exact, while a key with a third of all rows is spread
     over as many tasks as it has buckets. About one row in `bucket_factor` is sent twice.
     """
-    inputs = list(dict.fromkeys(column for _, column in sequence.measures.values()))
-    same = [F.expr(e).alias(f"_same{i}") for i, e in enumerate(sequence.same)]
     width = sequence.bucket_ms
-    flagged = events.select(
-        *keys,
-        F.col(time_ms).cast("bigint").alias("_ms"),
-        *[F.col(t).alias(f"_tie{i}") for i, t in enumerate(ties)],
-        step_flags(sequence).alias("_flags"),
-        *[F.col(c).alias(f"_in{i}") for i, c in enumerate(inputs)],
-        *same,
-        whole_steps(time_ms, width).alias("_own"),
-    )
+    own = rows.withColumn("_own", whole_steps("_ms", width))
     ahead = F.pmod(F.col("_ms"), F.lit(width).cast("bigint")) < F.lit(sequence.within_ms)
     buckets = F.when(ahead, F.array(F.col("_own"), F.col("_own") - 1)).otherwise(
         F.array(F.col("_own"))
     )
-    rows = flagged.withColumn("_bucket", F.explode(buckets)).withColumn(
+    spread = own.withColumn("_bucket", F.explode(buckets)).withColumn(
         "_home", F.col("_bucket") == F.col("_own")
     )
-    return rows.drop("_own"), inputs
+    return spread.drop("_own")
 
 
 def match_sequence(
@@ -99,8 +107,20 @@ def match_sequence(
     Any other row of the key between two steps breaks a match. Attempts start at every row. Equal
     times are ordered by `ties`.
     """
-    rows, inputs = bucketed(events, sequence, list(keys), time_ms, list(ties))
-    order = ["_ms", *[f"_tie{i}" for i in range(len(ties))]]
+    rows = flagged(events, sequence, list(keys), time_ms, list(ties))
+    return match_flagged(rows, sequence, list(keys), len(ties))
+
+
+def match_flagged(
+    flagged_rows: DataFrame,
+    sequence: Sequence,
+    keys: list[str],
+    ties: int,
+    ended_after: int | None = None,
+) -> DataFrame:
+    """match_sequence over flagged rows; with `ended_after` only matches whose last row is later."""
+    rows, inputs = bucketed(flagged_rows, sequence), sequence_inputs(sequence)
+    order = ["_ms", *[f"_tie{i}" for i in range(ties)]]
     window = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     index = {name: i for i, name in enumerate(sequence.names)}
     last = len(sequence.steps) - 1
@@ -113,6 +133,7 @@ def match_sequence(
         "_home",
         *[at("_flags", i).alias(f"_flags{i}") for i in range(last + 1)],
         (at("_ms", last) - F.col("_ms")).alias("_span"),
+        at("_ms", last).alias("_end"),
         *[
             at(f"_in{inputs.index(column)}", index[step]).alias(name)
             for name, (step, column) in sequence.measures.items()
@@ -129,6 +150,8 @@ def match_sequence(
         else F.col("_span") < sequence.within_ms
     )
     keep = F.col("_home") & in_time
+    if ended_after is not None:
+        keep = keep & (F.col("_end") > ended_after)
     for i in range(last + 1):
         keep = keep & (F.col(f"_flags{i}").bitwiseAND(F.lit(1 << i)) != 0)
     for i in range(len(sequence.same)):

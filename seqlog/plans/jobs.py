@@ -12,6 +12,7 @@ from seqlog.sinks.append import append_sink, upsert_sink
 from seqlog.sources.datasource import read_stream
 from seqlog.sources.options import SourceOptions
 from seqlog.streaming.matcher import match_sequence_stream, matches_only
+from seqlog.streaming.slices import flagged_groups, match_slices
 from seqlog.streaming.topk import top_k_stream
 
 # Fixed values of the analytics job.
@@ -20,6 +21,7 @@ ROLLUP_STREAM = "rollup/converting-queries-per-item"
 FEATURE_STREAM = "feature/top-5-converting-queries-per-item"
 WITHIN_MS = 10 * 60 * 1000
 LATENESS = "5 seconds"
+LATENESS_MS = 5_000
 TRIGGER = "5 seconds"
 REDISCOVERY_MS = 30_000
 TOP_K = 5
@@ -113,12 +115,16 @@ def start_conversions(
     basin: str,
     checkpoint: str,
     sequence: Sequence | None = None,
-    lateness: str = LATENESS,
+    lateness_ms: int = LATENESS_MS,
     trigger: str | None = TRIGGER,
     max_records_per_stream: int | None = None,
     prefixes: tuple[str, ...] = (EVENT_PREFIX,),
 ) -> StreamingQuery:
-    """Event streams to the rollup stream. Each prefix is a group with a watermark of its own."""
+    """Event streams to the rollup stream. Each prefix is a group with a watermark of its own.
+
+    Rows that can still be part of a match are kept under the checkpoint, in `slices`.
+    """
+    sequence = sequence or conversion_sequence()
     logs = [
         read_stream(
             spark,
@@ -132,9 +138,14 @@ def start_conversions(
         )
         for prefix in prefixes
     ]
-    found = conversions_stream(logs, sequence, lateness)
-    sink = append_sink(basin, F.lit(ROLLUP_STREAM), "conversions", encode_json)
-    return _start(found.writeStream.foreachBatch(sink), checkpoint, trigger)
+    rows = flagged_groups([parse_kv_events(log) for log in logs], sequence, ["user_id"])
+    append = append_sink(
+        basin, F.lit(ROLLUP_STREAM), "conversions", lambda found: encode_json(as_conversions(found))
+    )
+    slices = match_slices(
+        append, f"{checkpoint}/slices", sequence, ["user_id"], len(logs), lateness_ms=lateness_ms
+    )
+    return _start(rows.writeStream.foreachBatch(slices), checkpoint, trigger)
 
 
 def start_features(

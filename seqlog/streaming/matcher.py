@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from seqlog.operators.pattern import Sequence, bucketed
+from seqlog.operators.pattern import Sequence, bucketed, flagged, sequence_inputs
 
 LATE = "late_rows"
 
@@ -128,10 +128,10 @@ def match_sequence_stream(
     Several frames keep a watermark each and the slowest one counts, so a group of streams that lags
     behind the others does not become late; a group without new events then holds the others back.
     """
-    groups = events if isinstance(events, list) else [events]
+    groups, inputs = events if isinstance(events, list) else [events], sequence_inputs(sequence)
     parts = []
     for group in groups:
-        rows, inputs = bucketed(group, sequence, list(keys), time_ms, list(ties))
+        rows = bucketed(flagged(group, sequence, list(keys), time_ms, list(ties)), sequence)
         timed = rows.withColumn("_time", F.timestamp_millis("_ms"))
         parts.append(timed.withWatermark("_time", lateness))
     timed = reduce(DataFrame.unionByName, parts)
