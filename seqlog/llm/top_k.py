@@ -12,14 +12,13 @@ Pivots are fitted on a bounded sample of rows in the order of a hash; every row
 answer does not depend on the pivots. Queries and blocks meet on (pivot, band of distance), a block's
 queries are cut into shares, so neither a frequent vector nor many queries meet in one task.
 
-Vectors that are null, hold null or non-finite components, or have another length than the sample's
-commonest take no part; nor do rows without id. Rows equal in id and vector count once. Fewer than k
-candidates give fewer rows; an empty table gives none. Components must be below 2^24 in size once they
-are whole numbers, so that every product is exact.
+Vectors that are null, hold null or non-finite components, or have another length than the table's
+commonest (the longer one of two as common) take no part; nor do rows without id. Rows equal in id and
+vector count once. Fewer than k candidates give fewer rows; an empty table gives none. Components are
+32-bit and scores 64-bit whole numbers, all exact; a table that needs larger ones is refused.
 """
 
 import random
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,11 @@ BLOCK, SHARE = 1_024, 4_096
 BANDS = 64
 KEYED = "pivot int, distance double, vec_id long, vector binary"
 PACKED = "block long, pivot int, low double, high double, norm double, ids binary, vectors binary"
-QUERIES = "query_id long, vector binary, least double, norm double"
+QUERIES = "query_id long, vector binary, least long, norm double"
+#: Part of any norm or distance that rounding can be off by.
+SLACK = 1e-5
+#: In place of a score that 64 bits cannot hold, and of none; sizes from which a score may be too large.
+BEYOND, NONE, TOO_LARGE = -(1 << 63), 1 - (1 << 63), float(1 << 63) * (1 - SLACK)
 
 
 def integers(vectors: list) -> np.ndarray:
@@ -56,18 +59,15 @@ def _usable(vector, length: int) -> bool:
 
 def fit_pivots(rows: DataFrame, id_col: str, vector_col: str) -> np.ndarray:
     """Far-apart vectors of the sample, moved to the middle of their neighbours."""
-    sample = (
-        rows.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull())
-        .select(F.col(id_col).alias("i"), F.col(vector_col).alias("v"))
-        .orderBy(F.xxhash64("i"), "i")
-        .limit(SAMPLE)
-        .collect()
+    usable = rows.select(F.col(id_col).alias("i"), F.col(vector_col).cast("array<double>").alias("v")).where(
+        "i IS NOT NULL AND size(v) > 0 AND NOT exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = double('inf'))"
     )
-    lengths = Counter(len(r.v) for r in sample if _usable(r.v, len(r.v)) and len(r.v))
-    if not lengths:
+    commonest = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    if not commonest:
         return np.empty((0, 0))
-    length = max(lengths, key=lambda n: (lengths[n], n))
-    points = np.unique(integers([r.v for r in sample if _usable(r.v, length)]), axis=0)
+    of_length = usable.where(F.size("v") == commonest["n"])
+    sample = of_length.orderBy(F.xxhash64("i"), "i").limit(SAMPLE).collect()
+    points = np.unique(integers([r.v for r in sample]), axis=0)
     chosen, gap = [0], _distances(points, points[:1])[:, 0]
     while len(chosen) < PIVOTS and gap.max() > 0:
         chosen.append(int(gap.argmax()))
@@ -88,6 +88,23 @@ def _matrix(data: bytes, length: int) -> np.ndarray:
     return np.frombuffer(data, np.int32).reshape(-1, length).astype(np.float64)
 
 
+def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact inner products as 64-bit integers, BEYOND where they do not fit."""
+    rough = left @ right.T
+    largest = np.abs(left).max(initial=0) * np.abs(right).max(initial=0) * left.shape[-1]
+    if largest < 1 << 53:
+        return rough.astype(np.int64)
+    # Sums that leave 64 bits on the way come back, if their end is within.
+    exact = left.astype(np.int64) @ right.astype(np.int64).T
+    return np.where(np.abs(rough) < TOO_LARGE, exact, BEYOND)
+
+
+def _kept(scores: np.ndarray) -> np.ndarray:
+    if (scores == BEYOND).any():
+        raise ValueError("a score is beyond 64 bits")
+    return scores
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best: highest score, then smallest id."""
     if len(scores) > 4 * k:
@@ -111,8 +128,8 @@ def build_index(rows: DataFrame, pivots: np.ndarray, id_col: str, vector_col: st
             if not pairs:
                 continue
             points = integers([v for _, v in pairs])
-            if np.abs(points).max() >= 1 << 24:
-                raise ValueError("a component is too large for exact products")
+            if points.min() < -(1 << 31) or points.max() >= 1 << 31:
+                raise ValueError("a component is beyond 32 bits")
             distances = _distances(points, pivots)
             near = distances.argmin(axis=1)
             # Whole numbers of a fine unit, so that equal vectors have equal distances on any machine.
@@ -177,6 +194,8 @@ def top_k(
         for r in blocks.groupBy("pivot").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("norm").alias("norm")).collect()
     }
 
+    size = np.sqrt((pivots**2).sum(1))
+
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Queries with the k-th best score within their own annulus."""
         for batch in batches:
@@ -185,14 +204,14 @@ def top_k(
                 places = np.flatnonzero(ids % every == 0)
                 least = []
                 for place in places:
-                    scores = (points @ points[place])[ids != ids[place]]
-                    least.append(np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else -np.inf)
+                    scores = _kept(_products(points[ids != ids[place]], points[place]))
+                    least.append(int(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else NONE)
                 chosen = points[places]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[places], pa.int64()),
                         pa.array([row.tobytes() for row in chosen.astype(np.int32)], pa.binary()),
-                        pa.array(least, pa.float64()),
+                        pa.array(least, pa.int64()),
                         pa.array((chosen**2).sum(1), pa.float64()),
                     ],
                     names=["query_id", "vector", "least", "norm"],
@@ -211,18 +230,19 @@ def top_k(
             for query, vector, least, norm in zip(*columns, strict=True):
                 distances = _distances(_matrix(vector, length), pivots)[0]
                 for pivot, (low, high, largest) in reach.items():
-                    # The margin is far above any rounding of these sums.
-                    square = norm + largest - 2 * least
-                    radius = np.inf if np.isinf(least) else np.sqrt(max(square, 0)) + 1e-3 * (1 + abs(square)) ** 0.5
+                    # A difference of squares can be off by a share of their sum, a distance by its root.
+                    margin = SLACK * (1 + norm**0.5 + largest**0.5 + size[pivot])
+                    square = norm + largest - 2.0 * least
+                    radius = np.inf if least == NONE else max(square, 0) ** 0.5 + 2 * margin
                     nearest, farthest = distances[pivot] - radius, distances[pivot] + radius
-                    if farthest < low or nearest > high or square < -1:
+                    if farthest < low or nearest > high or square < -(margin**2):
                         continue
                     first, last = bands(max(nearest, low), min(farthest, high), pivot)
                     out += [(query, vector, least, pivot, band, first) for band in range(first, last + 1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row[i] for row in out], kind)
-                    for i, kind in enumerate((pa.int64(), pa.binary(), pa.float64(), *[pa.int32()] * 3))
+                    for i, kind in enumerate((pa.int64(), pa.binary(), pa.int64(), *[pa.int32()] * 3))
                 ],
                 names=["query_id", "vector", "least", "pivot", "band", "first"],
             )
@@ -245,11 +265,11 @@ def top_k(
             points = _matrix(block.column("vectors")[0].as_py(), length)
             queries = pairs.column("query_id").to_numpy()
             least = pairs.column("least").to_numpy()
-            scores = _matrix(b"".join(pairs.column("vector").to_pylist()), length) @ points.T
-            scores[queries[:, None] == ids[None, :]] = -np.inf
-            for query, bound, row in zip(queries, least, scores, strict=True):
+            scores = _products(_matrix(b"".join(pairs.column("vector").to_pylist()), length), points)
+            scores[queries[:, None] == ids[None, :]] = NONE
+            for query, bound, row in zip(queries, least, _kept(scores), strict=True):
                 for place in _best(row, ids, k):
-                    if row[place] >= bound and np.isfinite(row[place]):
+                    if row[place] >= bound and row[place] != NONE:
                         found.append((int(query), int(ids[place]), int(row[place])))
         return pa.table(
             {name: pa.array([f[i] for f in found], pa.int64()) for i, name in enumerate(("query_id", "vec_id", "score"))}
@@ -257,7 +277,7 @@ def top_k(
 
     queries, _ = written(blocks.select("ids", "vectors").mapInArrow(asked, QUERIES), "queries")
     shares = max(1, -(-queries.count() // SHARE))
-    routes = queries.mapInArrow(routed, "query_id long, vector binary, least double, pivot int, band int, first int")
+    routes = queries.mapInArrow(routed, "query_id long, vector binary, least long, pivot int, band int, first int")
     places = blocks.select("block", "pivot", "low", "high").mapInArrow(banded, "block long, pivot int, band int, first_held int")
     # Both sides grow with the table, so neither is broadcast. A query and a block that share several
     # bands meet in the first of them.

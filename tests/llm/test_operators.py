@@ -315,6 +315,21 @@ def test_top_k_is_exact_with_ties_and_odd_rows(spark, monkeypatch):
     assert top_k.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Products beyond 2^53 are exact, sums may leave 64 bits on the way, and a score beyond them is refused."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8) * rng.choice([1.0, 3e3, 9e4])]) for i in range(600)]
+    # Two products above 2^62 and two below -2^62 add up to little.
+    swing = [2_097_151.0] * 4
+    rows += [(700, swing + [0.0] * 4), (701, [a * b for a, b in zip(swing, (1, 1, -1, -1))] + [0.0] * 4)]
+    short = [(i, [1.0]) for i in range(2_000, 2_300)]
+    frame = spark.createDataFrame(rows + short, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in top_k.top_k(frame).collect()} == brute_top_k(rows, 100, 10)
+    beyond = spark.createDataFrame([(0, [2e6] * 4), (1, [2e6] * 4)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        top_k.top_k(beyond).collect()
+
+
 def test_edits_and_equal_fingerprints(rows, docs, empty):
     got = {r.doc_id: r for r in fingerprints.compare_edits(docs).collect()}
     order = sorted(rows, reverse=True)
