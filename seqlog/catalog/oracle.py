@@ -267,6 +267,16 @@ ORACLE: dict[str, str] = {
         SELECT user_id, first_event, last_event FROM ahead
         WHERE event_type = 'view' AND t1 = 'click' AND t2 = 'purchase'
           AND last_ms - epoch_ms < 3 * {DAY}""",
+    "match_dense_key": f"""WITH {EVENTS}, ahead AS (
+          SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, event_type, epoch_ms,
+                 event_id AS first_event,
+                 lead(event_type, 1) OVER w AS t1, lead(event_type, 2) OVER w AS t2,
+                 lead(event_id, 2) OVER w AS last_event, lead(epoch_ms, 2) OVER w AS last_ms
+          FROM ev WINDOW w AS (
+            PARTITION BY CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END ORDER BY epoch_ms, event_id))
+        SELECT user_id, first_event, last_event FROM ahead
+        WHERE event_type = 'view' AND t1 = 'click' AND t2 = 'purchase'
+          AND last_ms - epoch_ms < 3 * {DAY}""",
     "stream_match_conversions": f"""WITH {STEPS}, {conversions(f'3 * {DAY}',
         'AND last_ms <= (SELECT max(epoch_ms) - 5000 FROM parsed)')} SELECT * FROM conversions""",
     "reconcile_conversions": f"""WITH {STEPS}, {conversions(f'3 * {DAY}')},

@@ -35,7 +35,7 @@ from seqlog.operators.changelog import (
 )
 from seqlog.operators.lateness import late_rows
 from seqlog.operators.numbering import number_rows
-from seqlog.operators.pattern import Sequence, match_sequence, reconcile
+from seqlog.operators.pattern import Sequence, match_sequence, match_sequence_dense, reconcile
 from seqlog.operators.topk import count_by, rank_by_count, top_k, top_k_lists
 from seqlog.plans.jobs import (
     CONVERSION_SCHEMA,
@@ -542,6 +542,22 @@ def match_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_sequence(rows, sequence, ["user_id"], ties=["event_id"])
 
 
+def match_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generic steps with a third of all users taken for one, cut by row number."""
+    sequence = Sequence(
+        steps=(
+            ("seen", "event_type = 'view'"),
+            ("taken", "event_type = 'click'"),
+            ("paid", "event_type = 'purchase'"),
+        ),
+        measures={"first_event": ("seen", "event_id"), "last_event": ("paid", "event_id")},
+        within_ms=3 * DAY_MS,
+    )
+    one = F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id"))
+    rows = inputs.raw_events(spark, sf_dir).withColumn("user_id", one)
+    return match_sequence_dense(rows, sequence, ["user_id"], ties=["event_id"], dense_rows=200)
+
+
 def stream_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversion job over the log of lines, read back from its output stream."""
     basin = inputs.scratch_basin(spark, "stream-match")
@@ -678,6 +694,7 @@ QUERIES: dict[str, Query] = {
     "match_within_bound": match_within,
     "match_same_item": match_same_item,
     "match_generic_steps": match_generic,
+    "match_dense_key": match_dense,
     "stream_match_conversions": stream_matches,
     "reconcile_conversions": reconciled,
     "count_item_query": _item_counts,

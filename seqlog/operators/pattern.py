@@ -1,11 +1,17 @@
 """Strict sequences of adjacent events per key, and reconciliation of two result sets."""
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqlog.operators.numbering import number_rows
+from seqlog.plans.staging import SMALL_SIDE_ROWS, stage
+
 BUCKET_FACTOR = 8
+#: Rows of a key within one time bucket from which match_sequence_dense cuts by number.
+DENSE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -119,9 +125,73 @@ def match_flagged(
     ended_after: int | None = None,
 ) -> DataFrame:
     """match_sequence over flagged rows; with `ended_after` only matches whose last row is later."""
-    rows, inputs = bucketed(flagged_rows, sequence), sequence_inputs(sequence)
+    rows = bucketed(flagged_rows, sequence)
+    return _adjacent(rows, sequence, keys, [*keys, "_bucket"], ties, ended_after)
+
+
+def match_sequence_dense(
+    events: DataFrame,
+    sequence: Sequence,
+    keys: list[str],
+    time_ms: str = "epoch_ms",
+    ties: list[str] = ("stream", "seq_num"),
+    dense_rows: int = DENSE_ROWS,
+) -> DataFrame:
+    """match_sequence for keys that have more rows within one time bucket than a task should hold.
+
+    Keys with over `dense_rows` rows in a bucket are found by an aggregation that combines before the
+    shuffle. Their rows are numbered in order and cut into chunks of `dense_rows`, whatever the times; a
+    chunk also gets the rows that follow it, one less than there are steps, since only adjacent rows can
+    match. All other keys go by time buckets. The flagged rows and the numbered ones are written once, as
+    scratch tables, as the result reads them.
+    """
+    if dense_rows < len(sequence.steps):
+        raise ValueError("dense_rows must be at least the number of steps")
+    rows, _ = stage(flagged(events, sequence, list(keys), time_ms, list(ties)), "flagged")
+    sizes = rows.groupBy(*keys, whole_steps("_ms", sequence.bucket_ms).alias("_own")).count()
+    dense, _ = stage(
+        sizes.where(F.col("count") > dense_rows)
+        .select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+        .distinct()
+        .withColumn("_dense", F.monotonically_increasing_id()),
+        "dense-keys",
+    )
+    found = dense.count()
+    if not found:
+        return match_flagged(rows, sequence, list(keys), len(ties))
+    side = F.broadcast(dense) if found <= SMALL_SIDE_ROWS else dense
+    same_key = reduce(
+        Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    )
+    sparse = match_flagged(rows.join(side, same_key, "left_anti"), sequence, list(keys), len(ties))
+
+    order = ["_ms", *[f"_tie{i}" for i in range(len(ties))]]
+    members = rows.join(side, same_key).drop(*[f"_key{i}" for i in range(len(keys))])
+    placed = number_rows(members, ["_dense"], order, "_number")
+    own, place = F.expr(f"_number DIV {dense_rows}L"), F.col("_number") % dense_rows
+    handed_on = (place < len(sequence.steps) - 1) & (own > 0)
+    chunks = (
+        placed.withColumn("_own", own)
+        .withColumn("_chunk", F.explode(F.when(handed_on, F.array(own, own - 1)).otherwise(F.array(own))))
+        .withColumn("_home", F.col("_chunk") == F.col("_own"))
+    )
+    return sparse.unionByName(
+        _adjacent(chunks, sequence, list(keys), ["_dense", "_chunk"], len(ties))
+    )
+
+
+def _adjacent(
+    rows: DataFrame,
+    sequence: Sequence,
+    keys: list[str],
+    group: list[str],
+    ties: int,
+    ended_after: int | None = None,
+) -> DataFrame:
+    """Matches of adjacent rows within every group that start in a row of its own (`_home`)."""
+    inputs = sequence_inputs(sequence)
     order = ["_ms", *[f"_tie{i}" for i in range(ties)]]
-    window = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    window = Window.partitionBy(*group).orderBy(*order)
     index = {name: i for i, name in enumerate(sequence.names)}
     last = len(sequence.steps) - 1
 

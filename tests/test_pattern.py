@@ -4,7 +4,7 @@ from dataclasses import replace
 import pytest
 
 from seqlog.functions.codec import parse_kv_events
-from seqlog.operators.pattern import Sequence, match_sequence, reconcile
+from seqlog.operators.pattern import Sequence, match_sequence, match_sequence_dense, reconcile
 from seqlog.plans.jobs import conversion_sequence, conversions, features
 from tests.helpers import log_frame
 
@@ -155,3 +155,38 @@ def test_reconcile_counts_copies(spark):
     expected = spark.createDataFrame([("a",), ("c",), ("c",), (None,)], "x string")
     rows = sorted(tuple(r) for r in reconcile(actual, expected).collect())
     assert rows == [("a", "extra", 1), ("b", "extra", 1), ("c", "missing", 2)]
+
+
+@pytest.mark.parametrize("dense_rows", [3, 7, 100, 1_000_000])
+def test_dense_keys_are_cut_by_number(spark, dense_rows):
+    """Every third row is one user's, within one bucket; times repeat, some users and times are null."""
+    rng = random.Random(dense_rows)
+    rows = []
+    for i in range(3000):
+        user = 0 if i % 3 == 0 else None if i % 11 == 0 else rng.randint(1, 20)
+        at = rng.randint(0, 300) if user in (0, None) else rng.randint(-9000, 9000)
+        rows.append(("h", i, user, rng.choice(["view", "cart", "view", "cart", "buy"]), 1, None, at))
+    sequence = Sequence(
+        steps=(("A", "action = 'view'"), ("B", "action = 'cart'"), ("C", "action = 'view'")),
+        measures={"first": ("A", "seq_num"), "last": ("C", "seq_num")},
+        within_ms=60,
+    )
+    untimed = [("h", 3000 + i, 0, "view", 1, None, None) for i in range(30)]
+    frame = spark.createDataFrame(rows + untimed, EVENT)
+    got = [tuple(r) for r in match_sequence_dense(frame, sequence, ["user_id"], dense_rows=dense_rows).collect()]
+    assert sorted(got, key=repr) == sorted(brute_force_by_key(rows, sequence), key=repr)
+    assert len(got) > 50
+
+
+def brute_force_by_key(rows, sequence):
+    """brute_force, user by user, as null and numbers have no common order."""
+    users = {row[2] for row in rows}
+    return [found for user in users for found in brute_force([r for r in rows if r[2] == user], sequence)]
+
+
+def test_dense_matching_of_nothing_and_its_bound(spark):
+    sequence = conversion_sequence()
+    empty = spark.createDataFrame([], EVENT)
+    assert match_sequence_dense(empty, sequence, ["user_id"]).count() == 0
+    with pytest.raises(ValueError, match="dense_rows"):
+        match_sequence_dense(empty, sequence, ["user_id"], dense_rows=3)
