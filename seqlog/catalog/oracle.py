@@ -72,6 +72,11 @@ steps AS (
 )
 
 
+OWN_ITEMS = """FROM (
+    SELECT * REPLACE (CASE WHEN item_id % 2 = 0 THEN user_id % 20 ELSE item_id END AS item_id)
+    FROM parsed)"""
+
+
 def conversions(within_ms: str, extra: str = "") -> str:
     return f"""
 conversions AS (
@@ -257,8 +262,8 @@ ORACLE: dict[str, str] = {
         WHERE epoch_ms <= earlier - 5000""",
     "match_conversions": f"WITH {STEPS}, {conversions(f'3 * {DAY}')} SELECT * FROM conversions",
     "match_within_bound": f"WITH {STEPS}, {conversions(DAY)} SELECT * FROM conversions",
-    "match_same_item": f"""WITH {STEPS}, {conversions(f'30 * {DAY}',
-        'AND i1 % 2 = i2 % 2 AND i2 % 2 = i3 % 2')} SELECT * FROM conversions""",
+    "match_same_item": f"""WITH {STEPS.replace('FROM parsed WINDOW', OWN_ITEMS + ' WINDOW')}, {conversions(
+        f'30 * {DAY}', 'AND i1 = i2 AND i2 = i3')} SELECT * FROM conversions""",
     "match_generic_steps": f"""WITH {EVENTS}, ahead AS (
           SELECT user_id, event_type, epoch_ms, event_id AS first_event,
                  lead(event_type, 1) OVER w AS t1, lead(event_type, 2) OVER w AS t2,

@@ -520,12 +520,11 @@ def match_within(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_same_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three item steps agree on the item's parity; whole items never agree in this data."""
-    base = conversion_sequence(30 * DAY_MS)
-    sequence = Sequence(
-        base.steps, base.measures, base.within_ms, same=("item_id % 2",), over=("B", "C", "D")
-    )
-    return _matches(spark, sf_dir, sequence)
+    """View, cart and buy of one item; users come back to an item of their own in place of even ones."""
+    rows = inputs.parsed_events(spark, sf_dir)
+    item = F.when(F.col("item_id") % 2 == 0, F.col("user_id") % 20).otherwise(F.col("item_id"))
+    sequence = conversion_sequence(30 * DAY_MS, same_item=True)
+    return conversions(rows.withColumn("item_id", item.cast(rows.schema["item_id"].dataType)), sequence)
 
 
 def match_generic(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,10 +94,11 @@ def running_max(df: DataFrame, step: str, value: str, fan: int = 65_536) -> Data
     """Per step, the largest value of all earlier steps, as (step, earlier).
 
     Steps are folded in blocks of `fan`, first inside each block, then across blocks, so no task
-    sees more than `fan` rows of the first level. Steps are not negative.
+    sees more than `fan` rows of the first level. Steps are not negative; rows without one are left out.
     """
     # Written once: three levels read it, and it is as small as the number of steps.
-    steps, _ = stage(df.groupBy(step).agg(F.max(value).alias("_value")), "steps")
+    known = df.where(F.col(step).isNotNull())
+    steps, _ = stage(known.groupBy(step).agg(F.max(value).alias("_value")), "steps")
     steps = steps.withColumn("_block", F.expr(f"`{step}` DIV {fan}L"))
     blocks = steps.groupBy("_block").agg(F.max("_value").alias("_value"))
     # Second level: blocks of blocks, then one frame of at most steps / fan**2 rows.

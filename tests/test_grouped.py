@@ -9,6 +9,7 @@ from seqlog.operators.batching import batches_by_bytes, batches_by_count, oversi
 from seqlog.operators.lateness import late_rows
 from seqlog.operators.numbering import number_rows, running_max
 from seqlog.operators.topk import count_by, rank_by_count, top_k, top_k_lists
+from seqlog.plans import staging
 
 
 def test_top_k_golden(spark):
@@ -70,6 +71,23 @@ def test_running_max_over_blocks(spark, fan):
     assert {r["s"]: r["earlier"] for r in got.collect()} == expected
 
 
+@pytest.mark.parametrize("limit", [0, 1_000])
+def test_late_rows_of_a_batch_with_most_rows(spark, monkeypatch, limit):
+    """Marks broadcast or salted: the same rows, repeated ones and other columns included."""
+    monkeypatch.setattr(staging.join_side, "__defaults__", (limit,))
+    rng = random.Random(limit)
+    rows = [(rng.choice([3, 3, 3, 3, 1, 5, 9, None]), rng.choice([None, rng.randrange(60_000)]), i % 7) for i in range(2_000)]
+    got = late_rows(spark.createDataFrame(rows, "batch bigint, epoch_ms bigint, earlier_id bigint"), "batch")
+    newest = {}
+    for batch, at, _ in rows:
+        if batch is not None and at is not None:
+            newest[batch] = max(newest.get(batch, at), at)
+    marks = {b: max((t for c, t in newest.items() if c < b), default=None) for b in newest}
+    late = [r for r in rows if None not in r[:2] and marks[r[0]] is not None and r[1] <= marks[r[0]] - 5000]
+    assert got.columns == ["batch", "epoch_ms", "earlier_id"]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(late) and late
+
+
 def test_late_rows(spark):
     rows = [(0, 1000), (0, 90_000), (1, 85_000), (1, 85_001), (1, 200_000), (2, 100_000), (3, 195_000)]
     late = late_rows(spark.createDataFrame(rows, "batch bigint, epoch_ms bigint"), "batch")
