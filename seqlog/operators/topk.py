@@ -20,13 +20,32 @@ def rank_by_count(counts: DataFrame, group: str, value: str, n: str = "n") -> Da
     return ranked.withColumn("rn", F.col("_place") + 1).drop("_place")
 
 
-def top_k(counts: DataFrame, group: str, value: str, k: int, n: str = "n") -> DataFrame:
-    """The k best rows per group. The rank limit is applied before the shuffle as well, so a task
-    sends at most k rows of any group."""
+#: Fixed value: from this k on Spark sends all rows of a group to the task that ranks it.
+RANKED_AFTER_SHUFFLE = 1000
+SHARES = 64
+
+
+def limited(counts: DataFrame, group: str, value: str, k: int, n: str = "n") -> DataFrame:
+    """The k best rows per group with their rank `rn`, from 1, as an int.
+
+    The rank limit is applied before the shuffle as well, so a task sends at most k rows of any group.
+    From a k of 1,000 Spark does without that, so each group is ranked in shares by hash of the value
+    first, and only their best k meet.
+    """
     if k < 1:
         raise ValueError("k must be at least 1")
-    order = Window.partitionBy(group).orderBy(F.col(n).desc(), F.col(value).asc())
-    ranked = counts.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k)
+    order = [F.col(n).desc(), F.col(value).asc()]
+    if k >= RANKED_AFTER_SHUFFLE:
+        shared = counts.withColumn("_share", F.pmod(F.xxhash64(value), F.lit(SHARES)))
+        share = Window.partitionBy(group, "_share").orderBy(*order)
+        counts = shared.withColumn("rn", F.row_number().over(share)).where(F.col("rn") <= k).drop("_share", "rn")
+    ranked = counts.withColumn("rn", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return ranked.where(F.col("rn") <= k)
+
+
+def top_k(counts: DataFrame, group: str, value: str, k: int, n: str = "n") -> DataFrame:
+    """The k best rows per group with their rank `rn`, from 1."""
+    ranked = limited(counts, group, value, k, n)
     return ranked.withColumn("rn", F.col("rn").cast("bigint"))
 
 

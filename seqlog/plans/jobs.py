@@ -13,7 +13,7 @@ from seqlog.sources.datasource import read_stream
 from seqlog.sources.options import SourceOptions
 from seqlog.streaming.matcher import match_sequence_stream, matches_only
 from seqlog.streaming.slices import flagged_groups, match_slices
-from seqlog.streaming.topk import top_k_stream
+from seqlog.streaming.topk import changed_counts, top_k_changes, top_k_stream
 
 # Fixed values of the analytics job.
 EVENT_PREFIX = "host/"
@@ -156,7 +156,10 @@ def start_features(
     trigger: str | None = TRIGGER,
     max_records_per_stream: int | None = None,
 ) -> StreamingQuery:
-    """Rollup stream to the upsert stream of best queries per item."""
+    """Rollup stream to the upsert stream of best queries per item.
+
+    Counts are state of Spark's aggregation; the lists are kept under the checkpoint, in `lists`.
+    """
     source = SourceOptions(
         basin,
         streams=(ROLLUP_STREAM,),
@@ -165,8 +168,9 @@ def start_features(
     )
     converted = json_decode(read_stream(spark, source).select("body"), CONVERSION_SCHEMA)
     sink = upsert_sink(basin, FEATURE_STREAM, ["item"], "features")
-    writer = features_stream(converted, k).writeStream.foreachBatch(sink)
-    return _start(writer, checkpoint, trigger)
+    lists = top_k_changes(sink, f"{checkpoint}/lists", "item", k, "top_queries")
+    counts = changed_counts(converted, "matchedItemId", "matchedSearchQuery")
+    return _start(counts.writeStream.outputMode("update").foreachBatch(lists), checkpoint, trigger)
 
 
 def start_context_print(

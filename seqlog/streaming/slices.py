@@ -1,6 +1,5 @@
 """Sequence matching on a stream by slices of event time, with the batch matcher."""
 
-import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -9,9 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqlog.operators.pattern import Sequence, flagged, match_flagged
-from seqlog.plans.staging import child_names, read_text, remove_path, write_once
+from seqlog.streaming.marks import last_mark, leave_mark, table_path, tidy
 
 GROUP = "_group"
+#: The mark before the first batch.
+NOTHING = {"newest": {}, "late": 0, "held": []}
 
 
 def flagged_groups(
@@ -55,10 +56,10 @@ def match_slices(
 
     def process(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        before = _last_mark(spark, folder, batch_id)
+        before = last_mark(spark, folder, batch_id, NOTHING)
         m0 = _watermark(before["newest"], groups, lateness_ms)
-        _tidy(spark, folder, batch_id, before)
-        path = f"{folder}/rows/{batch_id:012d}"
+        tidy(spark, folder, batch_id, [batch for batch, _ in before["held"]])
+        path = table_path(folder, batch_id)
         late = F.lit(False) if m0 is None else F.col("_ms") <= m0
         df.withColumn("_late", late).write.mode("overwrite").parquet(path)
 
@@ -77,7 +78,7 @@ def match_slices(
         m1 = _watermark(newest, groups, lateness_ms)
 
         if m1 is not None and held and (m0 is None or m1 > m0):
-            paths = [f"{folder}/rows/{batch:012d}" for batch, _ in held]
+            paths = [table_path(folder, batch) for batch, _ in held]
             # Files written before a change of the sequence hold other columns; reading fails then.
             rows = spark.read.schema(schema).parquet(*paths).where(~F.col("_late") & (F.col("_ms") <= m1))
             if m0 is not None:
@@ -89,35 +90,15 @@ def match_slices(
             "late": late_rows,
             "held": [[b, top] for b, top in held if floor is None or top >= floor],
         }
-        write_once(spark, f"{folder}/marks/{batch_id:012d}", json.dumps(mark))
+        leave_mark(spark, folder, batch_id, mark)
 
     return process
 
 
 def late_rows_so_far(spark: SparkSession, folder: str) -> int:
     """How many rows came at or behind the watermark, over all batches of the query."""
-    return _last_mark(spark, folder, None)["late"]
+    return last_mark(spark, folder, None, NOTHING)["late"]
 
 
 def _watermark(newest: dict[str, int], groups: int, lateness_ms: int) -> int | None:
     return min(newest.values()) - lateness_ms if len(newest) == groups else None
-
-
-def _last_mark(spark: SparkSession, folder: str, batch_id: int | None) -> dict:
-    """State after the last batch before `batch_id`, or after the last one of all."""
-    names = [n for n in child_names(spark, f"{folder}/marks") if n.isdigit()]
-    earlier = [n for n in names if batch_id is None or int(n) < batch_id]
-    if not earlier:
-        return {"newest": {}, "late": 0, "held": []}
-    return json.loads(read_text(spark, f"{folder}/marks/{max(earlier)}"))
-
-
-def _tidy(spark: SparkSession, folder: str, batch_id: int, before: dict) -> None:
-    """Remove what neither this batch nor a repetition of it reads."""
-    needed = {f"{batch:012d}" for batch, _ in before["held"]}
-    for name in child_names(spark, f"{folder}/rows"):
-        if name.isdigit() and int(name) < batch_id and name not in needed:
-            remove_path(spark, f"{folder}/rows/{name}")
-    marks = sorted(n for n in child_names(spark, f"{folder}/marks") if n.isdigit() and int(n) < batch_id)
-    for name in marks[:-1]:
-        remove_path(spark, f"{folder}/marks/{name}")

@@ -1,13 +1,18 @@
 """Continuously maintained best-k lists."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from seqlog.operators.topk import limited
+from seqlog.streaming.marks import last_mark, leave_mark, table_path, tidy
+
 SALTS = 32
+#: After so many batches the lists of all groups are written anew, in one table.
+FOLD_BATCHES = 16
 
 
 class CountingTopK(StatefulProcessor):
@@ -134,3 +139,83 @@ def top_k_stream(
     return shares.groupBy(group).transformWithState(
         MergingTopK(k, value_type, list_schema.names), list_schema, "append", "None"
     )
+
+
+def changed_counts(events: DataFrame, group: str, value: str) -> DataFrame:
+    """Streaming frame for update mode: each (group, value) that a micro-batch adds to, with its count so far.
+
+    The counts are the state of Spark's own aggregation, which combines before the shuffle. Null values do
+    not count; a null group is a group.
+    """
+    pairs = events.where(F.col(value).isNotNull())
+    return pairs.groupBy(F.col(group).alias("_group"), F.col(value).alias("_value")).agg(
+        F.count("*").alias("_n")
+    )
+
+
+def top_k_changes(
+    sink: Callable[[DataFrame, int], None],
+    folder: str,
+    group: str,
+    k: int,
+    name: str = "top_values",
+    fold_batches: int = FOLD_BATCHES,
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function over changed_counts: gives `sink` the lists that each batch changes.
+
+    Counts only grow, so a group's new best k are among its old ones and the k largest counts just changed.
+    An old entry with an outdated count does no harm: if its value changed and is not among the k largest
+    changed ones, those are ahead of it with either count.
+
+    A batch writes the lists of its groups once, under `folder`, which belongs to one checkpoint; every
+    `fold_batches` batches it writes those of all groups, and the earlier tables go. So a batch reads k
+    entries of each group known, whatever the number of values. A batch that runs again writes the same.
+    """
+
+    def process(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        held = last_mark(spark, folder, batch_id, {"held": []})["held"]
+        tidy(spark, folder, batch_id, held)
+        entry = F.struct((-F.col("_n")).alias("back"), F.col("_value").alias("value"))
+        fresh = (
+            limited(df, "_group", "_value", k, "_n")
+            .groupBy("_group")
+            .agg(F.collect_list(entry).alias("_fresh"))
+        )
+        list_type = fresh.schema["_fresh"].dataType
+        schema = T.StructType(
+            [
+                fresh.schema["_group"],
+                T.StructField("_best", list_type),
+                T.StructField("_changed", T.BooleanType()),
+            ]
+        )
+        rows = fresh.withColumns({"_best": F.lit(None).cast(list_type), "_batch": F.lit(None).cast("long")})
+        for batch in held:
+            kept = spark.read.schema(schema).parquet(table_path(folder, batch))
+            rows = rows.unionByName(
+                kept.select("_group", F.lit(None).cast(list_type).alias("_fresh"), "_best").withColumn(
+                    "_batch", F.lit(batch).cast("long")
+                )
+            )
+        met = rows.groupBy("_group").agg(
+            F.max("_fresh").alias("_fresh"), F.max_by("_best", "_batch").alias("_old")
+        )
+        folding = len(held) >= fold_batches
+        if not folding:
+            met = met.where("_fresh IS NOT NULL")
+        none = F.array().cast(list_type)
+        new, old = F.coalesce("_fresh", none), F.coalesce("_old", none)
+        other = F.filter(old, lambda e: ~F.exists(new, lambda f: f["value"] == e["value"]))
+        best = F.slice(F.sort_array(F.concat(new, other)), 1, k)
+        values = lambda entries: F.transform(entries, lambda e: e["value"])
+        merged = met.select("_group", best.alias("_best"), old.alias("_old")).select(
+            "_group", "_best", (values("_best") != values("_old")).alias("_changed")
+        )
+        path = table_path(folder, batch_id)
+        merged.write.mode("overwrite").parquet(path)
+        lists = spark.read.schema(schema).parquet(path).where("_changed")
+        sink(lists.select(F.col("_group").alias(group), values("_best").alias(name)), batch_id)
+        leave_mark(spark, folder, batch_id, {"held": [batch_id] if folding else [*held, batch_id]})
+
+    return process
