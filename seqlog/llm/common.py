@@ -42,6 +42,14 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """`name`, with as many underscores after it as it takes to be none of `taken` in any case."""
+    held = {t.lower() for t in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def give_back() -> None:
     """Hand freed memory to the system: Python workers outlive their tasks, and an executor pays for them."""
     pa.default_memory_pool().release_unused()

@@ -274,8 +274,32 @@ def test_shards_are_level_and_gapless(docs, rows, empty):
     order = [r.doc_id for r in sorted(collected, key=lambda r: (r.shard, r.slot))]
     assert order != sorted(order)
     assert sharding.shard_rows(empty.select("doc_id", "text"))[0].count() == 0
-    with pytest.raises(ValueError):
-        sharding.shard_rows(docs.withColumn("slot", F.lit(1)))
+    named, _ = sharding.shard_rows(docs.withColumn("slot", F.lit(1)).withColumn("Shard", F.lit("s")))
+    assert set(named.columns) == {*docs.columns, "slot", "Shard", "shard_", "slot_"}
+    assert {(r.Shard, r.slot) for r in named.collect()} == {("s", 1)} and named.count() == len(rows)
+
+
+def test_shards_do_not_depend_on_partitions(spark):
+    same = [(None, None, "x")] * 300 + [(7, "copy", "y")] * 200 + [(7, "copy", "z")] * 100
+    frame = spark.createDataFrame([(i, f"text {i}" * (i % 9), "o") for i in range(400)] + same, "doc_id long, text string, tag string")
+
+    def placed(df):
+        return sorted(map(tuple, sharding.shard_rows(df, bucket_bytes=1_000)[0].select("shard", "slot", "doc_id", "text", "tag").collect()), key=repr)
+
+    first = placed(frame.repartition(4))
+    assert placed(frame.repartition(7).orderBy("tag")) == first
+    assert sorted(r[2:] for r in first if r[2] is None) == [(None, None, "x")] * 300
+    # Equal rows are scattered: no shard of eight takes many more than its share.
+    assert max(Counter(r[0] for r in first if r[4] == "x").values()) < 75
+
+
+def test_shards_with_several_buckets_a_partition(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PARTITIONS", 3)
+    frame = spark.createDataFrame([(i, "t" * (i % 50)) for i in range(500)], "doc_id long, text string")
+    got = [sorted(map(tuple, sharding.shard_rows(frame.repartition(n), bucket_bytes=500)[0].select("shard", "slot", "doc_id").collect())) for n in (2, 5)]
+    assert got[0] == got[1]
+    assert [r[:2] for r in got[0]] == [(shard, slot) for shard in range(8) for slot in range(62 + (shard % 2))]
+    assert sorted(r[2] for r in got[0]) == list(range(500))
 
 
 def test_mixing_rates_and_stability(spark, docs, empty):
