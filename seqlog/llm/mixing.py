@@ -10,14 +10,15 @@ nothing underflows. That table has one row per source; documents meet it in a jo
 to a counted size and salted beyond, so a source with a third of all rows is no hot key.
 
 A null source is a source of its own. A source without target weight has weight zero and is not in the
-mix. Rows with equal ids share their draw; null ids count as one id. Columns are kept as they are, and
-an empty table gives no rows.
+mix. Rows with equal ids share their draw; null ids count as one id. Columns are kept as they are; where the
+input has a column `copy`, `copies` or `order_key`, the new one is named with an underscore more. Texts are
+only carried, whatever their length. An empty table gives no rows.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqlog.llm.common import table
+from seqlog.llm.common import free_name, table
 from seqlog.plans.staging import join_side
 
 #: Largest mean of one part, and terms of its distribution; the rest of the tail is below 1e-18.
@@ -69,7 +70,7 @@ def mix(
     docs: DataFrame, targets: DataFrame | None = None, epochs: float = 1.0, seed: int = SEED,
     id_col: str = "doc_id", source_col: str = "source",
 ) -> DataFrame:
-    """`docs` repeated by count, with `copy` (from 1), `copies` and the key of the global order.
+    """`docs` repeated by count, with `copy` (from 1), `copies` and `order_key`, the global order.
 
     `targets` has source, n (rows of the corpus) and weight; `epochs` is the size of the mix over the
     size of the corpus.
@@ -81,27 +82,31 @@ def mix(
         F.col("parts").alias("_parts"),
         F.col("table").alias("_table"),
     )
-    rows = docs.withColumns(
-        {
-            "_source": F.coalesce(source_col, F.lit("")),
-            "_none": F.col(source_col).isNull(),
-        }
+    rows = docs.select(
+        F.struct("*").alias("_row"),
+        F.col(id_col).alias("_id"),
+        F.coalesce(source_col, F.lit("")).alias("_source"),
+        F.col(source_col).isNull().alias("_none"),
     )
-    joined = join_side(rows, side, ["_source", "_none"], "inner", F.xxhash64(id_col), SMALL_SOURCES)
+    joined = join_side(rows, side, ["_source", "_none"], "inner", F.xxhash64("_id"), SMALL_SOURCES)
     draws = F.aggregate(
         F.sequence(F.lit(1), F.col("_parts")),
         F.lit(0),
         lambda total, part: total
-        + F.size(F.filter("_table", lambda c: c <= uniform(seed, F.col(id_col), part))),
+        + F.size(F.filter("_table", lambda c: c <= uniform(seed, F.col("_id"), part))),
     )
-    key = F.md5(F.concat_ws("|", F.lit(f"{seed}|order"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("copy")))
+    key = F.md5(F.concat_ws("|", F.lit(f"{seed}|order"), F.coalesce(F.col("_id").cast("string"), F.lit("")), F.col("_copy")))
+    names = [free_name(n, docs.columns) for n in ("copy", "copies", "order_key")]
     return (
-        joined.withColumn("copies", draws)
-        .where("copies > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns], "copy", "copies", key.alias("order_key"))
-        .repartition("order_key")
-        .sortWithinPartitions("order_key")
+        joined.select("_row", "_id", draws.alias("_copies"))
+        .where("_copies > 0")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        .select(
+            *[F.col("_row").getField(c).alias(c) for c in docs.columns],
+            *[made.alias(name) for made, name in zip((F.col("_copy"), F.col("_copies"), key), names)],
+        )
+        .repartition(F.col(names[2]))
+        .sortWithinPartitions(names[2])
     )
 
 

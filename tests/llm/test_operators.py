@@ -298,7 +298,7 @@ def test_shards_with_several_buckets_a_partition(spark, monkeypatch):
     frame = spark.createDataFrame([(i, "t" * (i % 50)) for i in range(500)], "doc_id long, text string")
     got = [sorted(map(tuple, sharding.shard_rows(frame.repartition(n), bucket_bytes=500)[0].select("shard", "slot", "doc_id").collect())) for n in (2, 5)]
     assert got[0] == got[1]
-    assert [r[:2] for r in got[0]] == [(shard, slot) for shard in range(8) for slot in range(62 + (shard % 2))]
+    assert [r[:2] for r in got[0]] == [(shard, slot) for shard in range(8) for slot in range(63 - shard % 2)]
     assert sorted(r[2] for r in got[0]) == list(range(500))
 
 
@@ -315,6 +315,29 @@ def test_mixing_rates_and_stability(spark, docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_keeps_columns_of_its_own_names(spark, docs):
+    clashing = docs.withColumns({"copy": F.lit("mine"), "Copies": F.lit(-1), "order_key": F.lit(None).cast("int"), "_source": F.lit("s"), "_row": F.lit(3)})
+    got = mixing.mix(clashing)
+    assert set(got.columns) == {*clashing.columns, "copy_", "copies_", "order_key_"}
+    assert {(r["copy"], r.Copies, r.order_key, r["_source"], r["_row"]) for r in got.collect()} == {("mine", -1, None, "s", 3)}
+    plain = mixing.mix(docs)
+    key = lambda name: [(r.doc_id, r[f"copy{name}"], r[f"copies{name}"], r[f"order_key{name}"]) for r in (got if name else plain).collect()]
+    assert sorted(key("_"), key=repr) == sorted(key(""), key=repr)
+
+
+def test_first_stage_keeps_columns_of_the_score(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = [(i, " ".join([word() for _ in range(30)] + (["zorkface"] if i % 3 == 0 else [])), "old", i, None) for i in range(600)]
+    frame = spark.createDataFrame([*rows, (None, None, "old", None, None)], "doc_id long, text string, score string, value long, predicted int")
+    spark.createDataFrame([(r[0], int(r[0] % 3 == 0)) for r in rows], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, frame, str(tmp_path))
+    assert kept.schema == frame.schema
+    assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in frame.collect() if r.doc_id is None or r.doc_id % 3)
+
+
 def brute_top_k(rows, every, k):
     vectors = {i: np.floor(1024 * np.array(v, float)).astype(int) for i, v in rows}
     out = set()
