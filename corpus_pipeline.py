@@ -20,9 +20,11 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the clause grammar, fitted to the labels, does not call toxic."""
+    """Documents that the clause grammar, fitted to the labels, does not call toxic, with all their columns."""
     grammar = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, grammar).where("predicted = 0").select(*docs.columns)
+    # A document's own columns stand apart from those of the score.
+    apart = docs.select(F.col("text").alias("_text"), F.struct("*").alias("_doc"))
+    return toxicity.score(apart, grammar, "_text").where("predicted = 0").select("_doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a smaller id holds too; the other texts as they were."""
+    """Texts without the passages that a smaller id holds too; the other texts as they were.
+
+    From here on documents have the columns of the documents table alone.
+    """
     carried = docs.withColumn("_carried", F.to_json(F.struct("lang", "source")))
     cleaned = remove_repeats(carried, carry="_carried", untouched=True)
     fields = F.from_json("carried", "lang string, source string")
